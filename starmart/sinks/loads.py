@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators.clean import conform
@@ -21,14 +20,12 @@ class LoadResult(NamedTuple):
     skipped: int | None = None
 
 
-def read_target(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame | None:
-    """The target with its declared types, or None when the folder does not exist."""
-    try:
-        return spark.read.schema(spec.schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def read_target(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """The target with its declared types; an absent folder is created empty."""
+    spark.createDataFrame([], spec.schema).write.mode("ignore").parquet(
+        path, partitionBy=list(spec.partition_by) or None
+    )
+    return spark.read.schema(spec.schema).parquet(path)
 
 
 def has_rows(df: DataFrame) -> bool:
@@ -40,8 +37,7 @@ def _load(
     df: DataFrame, path: str, spec: TableSpec, key: Sequence[str], prune_by: Sequence[str],
     count_skipped: bool, finish=lambda fresh: fresh,
 ) -> LoadResult:
-    target = read_target(df.sparkSession, path, spec)
-    fresh = df if target is None else anti_new(df, target, key, prune_by)
+    fresh = anti_new(df, read_target(df.sparkSession, path, spec), key, prune_by)
     inserted = write_parquet(finish(fresh), path, spec.partition_by, "append")
     return LoadResult(inserted, df.count() - inserted if count_skipped else None)
 
