@@ -30,16 +30,18 @@ def epoch_ms_to_ts(column: Column | str, unit: str = "second") -> Column:
 
 
 def _since_epoch(column: Column | str) -> Column:
-    elapsed = (_col(column).cast("timestamp_ntz") - F.expr(_EPOCH)).cast("interval second")
-    return elapsed.cast("decimal(20,6)")
+    return _col(column).cast("timestamp_ntz") - F.expr(_EPOCH)
 
 
-def ts_to_epoch_ms(column: Column | str) -> Column:
-    return F.floor(_since_epoch(column) * 1000).cast("bigint")
+def ts_to_epoch_seconds(column: Column | str) -> Column:
+    """Whole seconds since 1970, cut towards it."""
+    return _since_epoch(column).cast("interval second").cast("bigint")
 
 
-def ts_to_epoch_seconds(column: Column | str) -> Column:
-    return F.floor(_since_epoch(column)).cast("bigint")
+def ts_to_epoch_ms(column: Column | str) -> Column:
+    """Whole milliseconds since 1970, cut towards it."""
+    # A thousand times the interval has the milliseconds as its seconds: integers throughout.
+    return (_since_epoch(column) * F.lit(1000)).cast("interval second").cast("bigint")
 
 
 CALENDAR_PARTS: dict[str, Callable[[Column], Column]] = {

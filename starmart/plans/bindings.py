@@ -37,7 +37,7 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
     )
-    since_midnight = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    since_midnight = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     columns = {
         "artist": F.col("p_brand"),
         "auth": F.col("o_orderstatus"),

@@ -26,6 +26,7 @@ class TableSpec:
     schema: T.StructType
     pk: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
+    sort_by: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -54,14 +55,25 @@ class TableSpec:
         return replace(self, name=name or self.name, schema=T.StructType(fields))
 
 
-def table(name: str, columns: str, pk: str = "", partition_by: str = "", not_null: str = "") -> TableSpec:
-    """``columns`` is ``"name type, ..."``; key columns are implied to be NOT NULL."""
+def table(
+    name: str, columns: str, pk: str = "", partition_by: str = "", not_null: str = "", sort_by: str = ""
+) -> TableSpec:
+    """``columns`` is ``"name type, ..."``; key columns are implied to be NOT NULL.
+
+    ``partition_by`` are folders, ``sort_by`` orders the rows inside each file.
+    """
     required = set(pk.split()) | set(not_null.split())
     fields = []
     for column in columns.split(","):
         field, kind = column.split()
         fields.append(T.StructField(field, _TYPES[kind], field not in required))
-    return TableSpec(name, T.StructType(fields), tuple(pk.split()), tuple(partition_by.split()))
+    return TableSpec(
+        name,
+        T.StructType(fields),
+        tuple(pk.split()),
+        tuple(partition_by.split()),
+        tuple(sort_by.split()),
+    )
 
 
 # --- Fixed values: field names and order of the source JSON and of the published tables. ---
@@ -90,6 +102,7 @@ FACT_SONGPLAYS = table(
     "session_id int, location string, user_agent string",
     pk="id",
     not_null="start_time user_id",
+    sort_by="start_time",
 )
 DIM_USERS = table(
     "dim_users", "id int, first_name string, last_name string, gender string, level string", pk="id"
@@ -114,8 +127,12 @@ LAKE_SONGS = table(
     "songs",
     "song_id string, title string, artist_id string, year string, duration double",
     pk="song_id",
-    partition_by="year artist_id",
+    partition_by="year",
+    sort_by="artist_id",
 )
+# A folder per artist and year, as first published: about one file per artist and year, so for
+# catalogues of few artists only. In LAKE_SONGS an artist is found by row-group statistics instead.
+LAKE_SONGS_BY_ARTIST = replace(LAKE_SONGS, partition_by=("year", "artist_id"), sort_by=())
 LAKE_ARTISTS = table(
     "artists",
     "artist_id string, artist_name string, artist_location string, artist_latitude double, "
@@ -127,6 +144,7 @@ LAKE_TIME = table(
     "start_time timestamp, hour int, day int, week int, month int, year int, weekday string",
     pk="start_time",
     partition_by="year month",
+    sort_by="start_time",
 )
 LAKE_USERS = table(
     "users",
@@ -139,6 +157,7 @@ LAKE_SONGPLAYS = table(
     "location string, userAgent string, start_time timestamp, month int, year int, id bigint",
     pk="id",
     partition_by="year month",
+    sort_by="start_time",
 )
 
 # Whole-number layout: numeric(18,0) for the fractional columns, text for two calendar parts.

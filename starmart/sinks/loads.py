@@ -38,7 +38,7 @@ def _load(
     count_skipped: bool, finish=lambda fresh: fresh,
 ) -> LoadResult:
     fresh = anti_new(df, read_target(df.sparkSession, path, spec), key, prune_by)
-    inserted = write_parquet(finish(fresh), path, spec.partition_by, "append")
+    inserted = write_parquet(finish(fresh), path, spec.partition_by, "append", spec.sort_by)
     return LoadResult(inserted, df.count() - inserted if count_skipped else None)
 
 

@@ -38,4 +38,4 @@ def write_parquet(
 
 def append(df: DataFrame, path: str, spec: TableSpec) -> int:
     """Add the rows of ``df``, cast to the columns of ``spec``."""
-    return write_parquet(conform(df, spec), path, spec.partition_by, "append")
+    return write_parquet(conform(df, spec), path, spec.partition_by, "append", spec.sort_by)
