@@ -17,17 +17,22 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     mode: str = "append",
     sort_by: Sequence[str] = (),
+    partitions: int | None = None,
 ) -> int:
     """Write a Parquet folder and return the number of rows written.
 
     A partitioned write is rebalanced first: rows of a folder come together, so that it gets few
-    files, and a folder holding most of the rows is still split over many tasks. ``sort_by`` orders
-    rows inside each file for tighter row-group statistics. Rows are counted by the writing tasks
-    themselves, once per task however often it was tried.
+    files, and a folder holding most of the rows is still split over many tasks. ``partitions`` (by
+    default ``spark.sql.shuffle.partitions``) should be at least the data size divided by
+    ``advisoryPartitionSizeInBytes``: then only folders larger than that are split, and small ones
+    sharing a shuffle partition are not cut into pieces with them. ``sort_by`` orders rows inside
+    each file for tighter row-group statistics. Rows are counted by the writing tasks themselves,
+    once per task however often it was tried.
     """
     out = df
     if partition_by:
-        out = out.hint("rebalance", *[F.col(c) for c in partition_by])
+        size = [partitions] if partitions else []
+        out = out.hint("rebalance", *size, *[F.col(c) for c in partition_by])
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
     written = Observation()

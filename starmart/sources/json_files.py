@@ -43,7 +43,9 @@ def read_json(
     """JSON lines under a folder or glob, with the columns of ``spec``; fields match by exact name.
 
     Bad lines: ``keep`` adds ``_corrupt_record`` holding their text, ``drop`` removes them, ``fail``
-    stops the job. A folder without a glob is read with everything below it, as a prefix would be.
+    stops the job. Spark parses only the columns a query uses, so whether a line counts as bad can
+    differ between queries; ``stage_json`` parses all of them once and settles it. A folder without
+    a glob is read with everything below it, as a prefix would be.
     """
     if corrupt not in CORRUPT_MODES:
         raise ValueError(f"corrupt is one of {CORRUPT_MODES}, not {corrupt!r}")
