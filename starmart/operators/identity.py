@@ -8,26 +8,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions import hash_key
-from starmart.session import cut_lineage
+from starmart.session import work_dir
 
 KINDS = ("hash", "sequence", "monotonic")
 
 
 def _sequence(df: DataFrame, name: str, start: int, order_by: Sequence[str]) -> DataFrame:
+    spark, columns = df.sparkSession, [c for c in df.columns if c != name]
+    rows = df.select(*columns)
     if order_by:
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    # The rows must sit in the same partitions when they are counted and when they are numbered.
-    fixed = cut_lineage(df).withColumn("__part", F.spark_partition_id()).withColumn(
-        "__row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    )
-    counts = fixed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per partition of the batch: a window over these, and their broadcast, stay small.
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    numbered = fixed.join(F.broadcast(offsets), "__part")
-    return numbered.withColumn(name, F.lit(start) + F.col("__offset") + F.col("__row")).select(
-        *[c for c in df.columns if c != name], name
+        rows = rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    path = work_dir(spark, "sequence")
+    rows.write.parquet(path)
+    # The number within the file and the file itself are facts of the written table: they stay the
+    # same however the table is split for reading and whatever task is run again.
+    fixed = spark.read.schema(rows.schema).parquet(path).withColumns(
+        {"__file": F.col("_metadata.file_name"), "__row": F.col("_metadata.row_index")}
     )
+    counts = fixed.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
+    # One row per written file: a window over these, and their broadcast, stay small.
+    task = F.regexp_extract("__file", r"part-(\d+)", 1).cast("bigint")
+    before = Window.orderBy(task, "__file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    number = F.lit(start) + F.col("__offset") + F.col("__row")
+    return fixed.join(F.broadcast(offsets), "__file").select(*columns, number.alias(name))
 
 
 def add_id(
@@ -43,9 +47,9 @@ def add_id(
     ``hash``: of ``cols``, the same in every run, no pass over the data. 64 bits: two of n keys
     collide with probability about n² / 2^65, so past some hundred million rows treat it as a label
     beside the business key, or use ``sequence``.
-    ``sequence``: dense from ``start``. Writes a checkpoint of the rows, counts them per partition
-    and adds offsets; no shuffle and no global window. ``order_by`` adds a range shuffle so that
-    the numbers follow that order.
+    ``sequence``: dense from ``start``. Writes the rows to the shared checkpoint folder, counts them
+    per file (from the footers) and adds offsets; no shuffle and no window over the rows.
+    ``order_by`` adds a range shuffle so that the numbers follow that order.
     ``monotonic``: unique in this frame from ``start``, with gaps; not repeatable between runs.
     """
     if kind == "hash":

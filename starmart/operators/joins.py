@@ -74,6 +74,27 @@ def enrich(
     )
 
 
+def _near(target: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Target rows within the span of the batch, as plain bounds that reach the file scan."""
+    key = F.struct(*columns)
+    span = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    bounds = span.select(
+        *[F.col(f"{end}.{c}").cast("string").alias(f"{end}_{c}") for end in ("lo", "hi") for c in columns]
+    ).first()
+    if bounds[f"lo_{columns[0]}"] is None:
+        return target.filter(F.lit(False))
+
+    def bound(end: str, c: str):
+        return F.lit(bounds[f"{end}_{c}"]).cast(batch.schema[c].dataType)
+
+    first = columns[0]
+    near = target.filter(F.col(first).between(bound("lo", first), bound("hi", first)))
+    if len(columns) == 1:
+        return near
+    lo, hi = (F.struct(*[bound(end, c).alias(c) for c in columns]) for end in ("lo", "hi"))
+    return near.filter(key.between(lo, hi))
+
+
 def anti_new(
     df: DataFrame,
     target: DataFrame,
@@ -86,24 +107,12 @@ def anti_new(
     comparison is unknown for them. Target keys are primary keys and so not null.
 
     Written as a left anti join rather than ``NOT IN``, which Spark can only run by broadcasting
-    the whole target. ``prune_by`` names columns, functions of the key, that partition the target:
-    only its partitions between the batch's lowest and highest values are read.
+    the whole target. ``prune_by`` names columns that are part of the key or functions of it: of the
+    target only the range between the batch's lowest and highest values is read, by skipping
+    folders (partition columns) or row groups (other columns, if the files are sorted by them).
+    Finding that range is a small job of its own over those columns of the batch.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    wanted = target
-    if prune_by:
-        span = df.filter(complete(keys)).agg(
-            F.min(F.struct(*prune_by)).alias("lo"), F.max(F.struct(*prune_by)).alias("hi")
-        )
-        lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
-        # The single-column bounds on the leading column are what prunes the folder listing.
-        first = prune_by[0]
-        here = F.struct(*prune_by)
-        wanted = target.filter(
-            (F.col(first) >= lo.getField(first))
-            & (F.col(first) <= hi.getField(first))
-            & (here >= lo)
-            & (here <= hi)
-        )
+    wanted = _near(target, df.filter(complete(keys)), prune_by) if prune_by else target
     fresh = df.join(wanted.select(*keys), keys, "left_anti").select(*df.columns)
     return fresh.filter(complete(keys) | ~target.exists())

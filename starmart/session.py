@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -51,11 +51,3 @@ def checkpoint_base(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path (not yet created) below the shared folder."""
     return f"{checkpoint_base(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows and their partitioning survive lost executors."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(checkpoint_base(spark))
-    return df.checkpoint()

@@ -73,14 +73,16 @@ def stage_json(
     day: date | None = None,
     day_style: str = "plain",
     corrupt: str = "keep",
+    compact: bool = False,
 ) -> int:
     """Copy raw JSON into a Parquet staging folder in one pass; returns the number of rows.
 
     ``overwrite`` replaces what was staged, ``append`` adds to it. ``day`` loads that day's folder
     only. The ``_corrupt_record`` column is kept in the staging folder under ``corrupt="keep"``.
+    ``compact`` shuffles the rows into files of even size, for sources of many small files.
     """
     raw = read_json(spark, date_prefix(src, day, day_style), spec, corrupt)
-    return write_parquet(raw, dest, mode=mode)
+    return write_parquet(raw.hint("rebalance") if compact else raw, dest, mode=mode)
 
 
 def good_rows(staged: DataFrame) -> DataFrame:
