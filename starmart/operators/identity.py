@@ -17,7 +17,9 @@ def _sequence(df: DataFrame, name: str, start: int, order_by: Sequence[str]) ->
     spark, columns = df.sparkSession, [c for c in df.columns if c != name]
     rows = df.select(*columns)
     if order_by:
-        rows = rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        # The input partition as last range column splits rows of equal order over several tasks.
+        spread = rows.withColumn("__from", F.spark_partition_id())
+        rows = spread.repartitionByRange(*order_by, "__from").sortWithinPartitions(*order_by).drop("__from")
     path = work_dir(spark, "sequence")
     rows.write.parquet(path)
     # The number within the file and the file itself are facts of the written table: they stay the

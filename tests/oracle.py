@@ -1,4 +1,4 @@
-"""Compare a registered query with its SQL: columns, row count and every value, in any order."""
+"""Compare a registered query with its SQL: columns, types and every value, in any row order."""
 
 from __future__ import annotations
 
@@ -19,6 +19,16 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def _plain(value):
     if isinstance(value, float) and math.isnan(value):
         return "NaN"
@@ -37,11 +47,13 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     types = [str(c[1]) for c in found.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    expected = {n: SPARK_TYPES.get(t, t) for n, t in zip(names, types)}
+    if expected != dict(df.dtypes):
+        return f"types {df.dtypes} != {expected}"
     want, got = _bag(names, found.fetchall()), _bag(df.columns, df.collect())
     if want != got:
         return (
             f"{sum(got.values())} rows, expected {sum(want.values())}; "
-            f"extra {list((got - want).items())[:2]}, missing {list((want - got).items())[:2]}; "
-            f"types {df.dtypes} / {types}"
+            f"extra {list((got - want).items())[:2]}, missing {list((want - got).items())[:2]}"
         )
     return None

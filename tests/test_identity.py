@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.operators import add_id
 
@@ -16,6 +17,15 @@ def test_sequence_can_follow_an_order(spark):
     assert all(r.id == r.n + 1 for r in out)
 
 
+def test_ordered_sequence_splits_equal_values(spark):
+    hot = spark.range(0, 8000, 1, 8).selectExpr("case when id % 3 = 0 then 5 else id % 11 end as n")
+    out = add_id(hot, "sequence", order_by=["n"])
+    ids = [r.id for r in out.orderBy("n", "id").collect()]
+    assert ids == list(range(1, 8001))
+    holding_the_hot_value = out.filter("n = 5").select(F.input_file_name()).distinct()
+    assert holding_the_hot_value.count() > 1
+
+
 def test_sequence_of_nothing(spark):
     assert add_id(spark.range(0).toDF("n"), "sequence").count() == 0
 
