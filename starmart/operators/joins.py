@@ -75,24 +75,32 @@ def enrich(
 
 
 def _near(target: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Target rows within the span of the batch, as plain bounds that reach the file scan."""
-    key = F.struct(*columns)
-    span = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-    bounds = span.select(
-        *[F.col(f"{end}.{c}").cast("string").alias(f"{end}_{c}") for end in ("lo", "hi") for c in columns]
+    """Target rows within the span of the batch, as literal bounds that reach the file scan."""
+    every = F.struct(*columns)
+    span = batch.agg(
+        F.struct(*[F.min(c).alias(c) for c in columns]).alias("min"),
+        F.struct(*[F.max(c).alias(c) for c in columns]).alias("max"),
+        F.min(every).alias("first"),
+        F.max(every).alias("last"),
+    )
+    ends = span.select(
+        *[F.col(f"{end}.{c}").cast("string").alias(f"{end} {c}") for end in span.columns for c in columns]
     ).first()
-    if bounds[f"lo_{columns[0]}"] is None:
+    if ends[f"min {columns[0]}"] is None:
         return target.filter(F.lit(False))
 
     def bound(end: str, c: str):
-        return F.lit(bounds[f"{end}_{c}"]).cast(batch.schema[c].dataType)
-
-    first = columns[0]
-    near = target.filter(F.col(first).between(bound("lo", first), bound("hi", first)))
-    if len(columns) == 1:
-        return near
-    lo, hi = (F.struct(*[bound(end, c).alias(c) for c in columns]) for end in ("lo", "hi"))
-    return near.filter(key.between(lo, hi))
+        return F.lit(ends[f"{end} {c}"]).cast(batch.schema[c].dataType).alias(c)
+
+    near = target
+    for c in columns:
+        near = near.filter(F.col(c).between(bound("min", c), bound("max", c)))
+    # December to January: each month lies in the span, but only two (year, month) pairs do.
+    for n in range(2, len(columns) + 1):
+        lead = columns[:n]
+        first, last = (F.struct(*[bound(end, c) for c in lead]) for end in ("first", "last"))
+        near = near.filter(F.struct(*lead).between(first, last))
+    return near
 
 
 def anti_new(

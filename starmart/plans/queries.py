@@ -467,7 +467,7 @@ def load_fact_twice(spark, sf_dir):
     path = work_dir(spark, "fact")
     batch = songplays_fact(spark, sf_dir)
     for _ in range(2):
-        load_fact(batch, path, FACT_SONGPLAYS, ("start_time", "user_id"))
+        load_fact(batch, path, FACT_SONGPLAYS, ("start_time", "user_id"), prune_by=("start_time",))
     return read_target(spark, path, FACT_SONGPLAYS).drop("id")
 
 
@@ -478,7 +478,8 @@ def load_fact_pruned(spark, sf_dir):
     spec = next(s for s in LAKE if s.name == "songplays")
     plays = songplays_lake(spark, sf_dir)
     for batch in (plays.filter(F.col("year") < 1998), plays):
-        load_fact(batch, path, spec, ("start_time", "userId"), prune_by=spec.partition_by)
+        prune_by = (*spec.partition_by, *spec.sort_by)
+        load_fact(batch, path, spec, ("start_time", "userId"), prune_by=prune_by)
     return read_target(spark, path, spec).drop("id")
 
 

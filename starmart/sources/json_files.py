@@ -17,8 +17,7 @@ CORRUPT_MODES = ("keep", "drop", "fail")
 # The glob depths of the two raw layouts, and the date folders of a daily layout.
 SONG_FILES = "song_data/*/*/*/*.json"
 LOG_FILES = "log-data/*/*/*.json"
-DAY_FOLDER = "%Y/%m/%d/"
-DAY_FOLDER_HIVE = "year=%Y/month=%-m/day=%-d/"
+DAY_FOLDERS = {"plain": "{0:%Y}/{0:%m}/{0:%d}/", "hive": "year={0.year}/month={0.month}/day={0.day}/"}
 
 
 def date_prefix(base: str, day: date | None, style: str = "plain") -> str:
@@ -26,11 +25,9 @@ def date_prefix(base: str, day: date | None, style: str = "plain") -> str:
 
     ``style="hive"`` is the ``year=/month=/day=`` naming that a partitioned Spark write produces.
     """
-    if style not in ("plain", "hive"):
-        raise ValueError(f"style is 'plain' or 'hive', not {style!r}")
-    if day is None:
-        return base
-    return base.rstrip("/") + "/" + day.strftime(DAY_FOLDER if style == "plain" else DAY_FOLDER_HIVE)
+    if style not in DAY_FOLDERS:
+        raise ValueError(f"style is one of {tuple(DAY_FOLDERS)}, not {style!r}")
+    return base if day is None else base.rstrip("/") + "/" + DAY_FOLDERS[style].format(day)
 
 
 def read_json(

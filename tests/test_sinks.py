@@ -3,6 +3,7 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from starmart.schemas import DIM_USERS, FACT_SONGPLAYS, LAKE_SONGS, LAKE_SONGS_BY_ARTIST, table
 from starmart.session import work_dir
@@ -56,23 +57,21 @@ def test_any_split_of_a_batch_loads_the_same_keys(spark, keys, parts, rng):
     assert sorted(r.k for r in read_target(spark, path, ITEMS).collect()) == sorted(keys)
 
 
-PLAYS = "start_time timestamp_ntz, user_id int, level string, song_id string, artist_id string, session_id int, location string, user_agent string"
+PLAYS = (
+    "start_time string, user_id int, level string, song_id string, artist_id string, "
+    "session_id int, location string, user_agent string"
+)
 KEY = ("start_time", "user_id")
 
 
-def test_fact_load_sees_morning_and_afternoon_and_batch_duplicates(spark, folder):
-    def play(time, user=1, song="s"):
-        return (time, user, "free", song, "a", 1, "x", "y")
-
-    def frame(*data):
-        return spark.createDataFrame(data, PLAYS.replace("timestamp_ntz", "string", 1)).withColumn(
-            "start_time", spark_cast("start_time")
-        )
+def play(time, user=1, song="s"):
+    return (time, user, "free", song, "a", 1, "x", "y")
 
-    from pyspark.sql import functions as F
 
-    def spark_cast(c):
-        return F.col(c).cast("timestamp_ntz")
+def test_fact_load_sees_morning_and_afternoon_and_batch_duplicates(spark, folder):
+    def frame(*data):
+        start = F.col("start_time").cast("timestamp_ntz")
+        return spark.createDataFrame(data, PLAYS).withColumn("start_time", start)
 
     morning, noon = play("2018-11-04 01:00:00"), play("2018-11-04 13:00:00")
     assert load_fact(frame(morning), folder, FACT_SONGPLAYS, KEY).inserted == 1
