@@ -41,6 +41,7 @@ def salt_left(df: DataFrame, hot: DataFrame, keys: Sequence[str], salts: int) ->
     """Add ``__salt``: a hash of the whole row for hot and for incomplete keys, 0 for all others.
 
     A hash, unlike a random number, sends a row to the same place when a lost task is run again.
+    Exact copies of a row stay together; AQE, which splits by map output, separates those.
     """
     spread: Column = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
     flagged = _flag(df, hot, keys)

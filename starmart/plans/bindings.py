@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starmart.functions import ts_to_epoch_ms
 from starmart.schemas import PLAY_PAGE, STAGING_EVENTS, STAGING_SONGS
@@ -18,8 +19,15 @@ TABLES = (
 ).split()
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the given tables; its schema is read from a file footer once per process."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
