@@ -49,14 +49,17 @@ def recipes(docs: DataFrame, pattern: str = CHUNK) -> DataFrame:
             break
     else:
         raise RuntimeError("chunk identifiers collide under every seed")
-    text = normal(F.col("text"))
-    recipe = F.flatten(F.transform(chunks(text, pattern), lambda c: chunk_id(c, seed)))
+    texts = docs.select(
+        "doc_id", text_key(F.col("text")).alias("text_key"), normal(F.col("text")).alias("normal")
+    )
+    cut = chunks(F.col("normal"), pattern)
+    recipe = F.flatten(F.transform(cut, lambda c: chunk_id(c, seed)))
     return stored(
-        docs.select(
+        texts.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
-            text_key(F.col("text")).alias("text_key"),
-            F.sha2(text, 256).alias("text_sha256"),
+            "text_key",
+            F.sha2("normal", 256).alias("text_sha256"),
             recipe.alias("recipe"),
         ),
         "recipes",

@@ -44,8 +44,8 @@ def spaces(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of words ``[^\\x20\\x09-\\x0D]+`` as bigint; null counts as empty."""
-    flat = F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), GAP, " "), F.lit(" "))
-    return F.when(flat == "", F.lit(0)).otherwise(spaces(flat) + 1).cast("bigint")
+    framed = F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" "))
+    return (spaces(F.regexp_replace(framed, GAP, " ")) - 1).cast("bigint")
 
 
 def text_key(text: Column) -> Column:

@@ -8,6 +8,8 @@ by windows per document, so neither step grows with the square of the matches.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,23 +21,40 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def words_line(text: Column) -> Column:
     """`` w0 w1 ... `` in lower case, or one space if there are no words."""
-    flat = F.btrim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD, " "), F.lit(" "))
-    return F.when(flat == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), flat, F.lit(" ")))
+    framed = F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" "))
+    return F.regexp_replace(framed, NOT_WORD, " ")
+
+
+def _root(rule: Signature, keywords: set[str]) -> str:
+    """A string that every match of the rule contains, shared by many rules."""
+    must, before = rule.pattern, None
+    while must != before:
+        must, before = re.sub(r"\(\?:[^()]*\)\??", " ", must), must
+    if "licen" in must:
+        return "licen"
+    return min((k for k in keywords if k in rule.keyword), key=lambda k: (len(k), k))
 
 
 def _hits(line: Column, rules: tuple[Signature, ...]) -> Column:
-    """Per rule with matches: its number, and in words the gap before and the length of each match."""
-    # Grouped by keyword, so that each keyword is looked for once and its rules come along.
-    groups = []
-    for keyword in sorted({r.keyword for r in rules}):
-        own = [
-            F.struct(F.lit(n).alias("rule"), F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern"))
-            for n, r in enumerate(rules)
-            if r.keyword == keyword
-        ]
-        groups.append(F.struct(F.lit(keyword).alias("keyword"), F.array(*own).alias("rules")))
-    present = F.filter(F.array(*groups), lambda g: F.contains(line, g["keyword"]))
-    tried = F.flatten(F.transform(present, lambda g: g["rules"]))
+    """Per rule with matches: its number, and in words the gap before and the length of each match.
+
+    Rules hang below their keyword and keywords below a root, so a text is searched for some twenty
+    strings, and for more only where one of these is found.
+    """
+    keywords = {r.keyword for r in rules}
+    tree: dict[str, dict[str, list[Column]]] = {}
+    for n, r in enumerate(rules):
+        pattern = F.lit(f"(?<= )(?:{r.pattern})(?= )")
+        rule = F.struct(F.lit(n).alias("rule"), pattern.alias("pattern"))
+        tree.setdefault(_root(r, keywords), {}).setdefault(r.keyword, []).append(rule)
+
+    def node(text: str, below: list[Column]) -> Column:
+        return F.struct(F.lit(text).alias("text"), F.array(*below).alias("below"))
+
+    tried = F.array(*[node(root, [node(k, own) for k, own in x.items()]) for root, x in tree.items()])
+    for _ in range(2):
+        present = F.filter(tried, lambda x: F.contains(line, x["text"]))
+        tried = F.flatten(F.transform(present, lambda x: x["below"]))
     found = F.transform(
         tried,
         lambda r: F.struct(
