@@ -244,10 +244,12 @@ def decode_batches(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
 
-def digest_batches(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
+def digest_batches(
+    batches: Iterator[pa.RecordBatch], model: bytes, with_ids: bool
+) -> Iterator[pa.RecordBatch]:
     enc = encoder(model)
     for batch in batches:
-        counts, ids_sha, text_sha, tiled = [], [], [], []
+        counts, ids_sha, text_sha, tiled, lists = [], [], [], [], []
         for text in batch.column(1).to_pylist():
             own = enc.ids(text)
             begin, end = enc.spans(text, own)
@@ -258,13 +260,21 @@ def digest_batches(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[
             ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
             text_sha.append(hashlib.sha256(enc.sp.decode(ids.tolist()).encode()).hexdigest())
             tiled.append(whole)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(text_sha), pa.array(tiled)],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_tile_text"],
-        )
-
-
-def _mapped(df: DataFrame, function: str, schema: str, model: bytes) -> DataFrame:
+            if with_ids:
+                lists.append(ids.astype(np.int32))
+        columns = {
+            "doc_id": batch.column(0),
+            "n_tokens": pa.array(counts, pa.int64()),
+            "ids_sha256": pa.array(ids_sha, pa.string()),
+            "decoded_sha256": pa.array(text_sha, pa.string()),
+            "spans_tile_text": pa.array(tiled, pa.bool_()),
+        }
+        if with_ids:
+            columns["ids"] = pa.array(lists, pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def _mapped(df: DataFrame, function: str, schema: str, *args) -> DataFrame:
     root = package_root()
 
     def run(batches):
@@ -274,7 +284,7 @@ def _mapped(df: DataFrame, function: str, schema: str, model: bytes) -> DataFram
             sys.path.append(root)
         from starmart.llm import pieces
 
-        yield from getattr(pieces, function)(batches, model)
+        yield from getattr(pieces, function)(batches, *args)
 
     return df.mapInArrow(run, schema)
 
@@ -300,13 +310,15 @@ def decode(encoded: DataFrame, model: bytes | None = None) -> DataFrame:
     return _mapped(own, "decode_batches", f"doc_id {_id_type(encoded)}, text string", model or model_bytes())
 
 
-def digest(docs: DataFrame, model: bytes | None = None) -> DataFrame:
-    """Encode and decode in one pass, returning counts and hashes instead of ids and texts.
+def digest(docs: DataFrame, model: bytes | None = None, ids: bool = False) -> DataFrame:
+    """Encode and decode in one pass, returning counts and hashes of ids and texts (and the ids).
 
     ``doc_id``, ``n_tokens`` (with both marks), ``ids_sha256`` (ids as little-endian 32-bit numbers),
     ``decoded_sha256``, ``spans_tile_text`` (the spans follow each other from the first byte to the
     last). Null texts count as empty.
     """
     columns = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_tile_text boolean"
+    columns += ", ids array<int>" if ids else ""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return _mapped(texts, "digest_batches", f"doc_id {_id_type(docs)}, {columns}", model or model_bytes())
+    schema = f"doc_id {_id_type(docs)}, {columns}"
+    return _mapped(texts, "digest_batches", schema, model or model_bytes(), ids)

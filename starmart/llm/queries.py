@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import chunk_dedup, licenses, line_dedup, mixing, urls
+from starmart.llm import (
+    chunk_dedup,
+    fertility,
+    licenses,
+    line_dedup,
+    mixing,
+    pieces,
+    ranking,
+    simhash,
+    toxicity,
+    urls,
+)
 from starmart.llm.common import table
 from starmart.llm.oracles import LLM_ORACLES
 
@@ -21,6 +32,19 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", digest)
 
 
+def op2_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules over all documents."""
+    rated = fertility.rate(table(spark, sf_dir, "documents"))
+    contract = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    more = ["n_tokens", "chars_per_token", "byte_share", "entropy"]
+    return rated.select(*contract, "base_failed", "kept", *more)
+
+
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded."""
+    return pieces.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences found in all documents."""
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -38,6 +62,24 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates among all documents."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return ranking.score(docs, ranking.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on the url of every page."""
     judge = urls.fit(urls.labelled_urls(spark))
@@ -48,9 +90,14 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup,
+        op2_fertility,
+        op3_pieces,
         op4_license_scan,
         op5_exact_dedup,
         op6_source_mix,
+        op7_toxicity,
+        op8_simhash,
+        op9_quality,
         op10_url_filter,
     )
 }

@@ -1,0 +1,334 @@
+"""The operators that run Python in tasks, against the library or brute force on small tables."""
+
+from __future__ import annotations
+
+import random
+import struct
+from collections import Counter
+from itertools import combinations
+from math import log2
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import public_tokenizers
+import sentencepiece
+import xxhash
+from pyspark.sql import functions as F
+
+from starmart.llm import fertility, pieces, ranking, simhash, toxicity
+from starmart.llm.components import components
+
+TEXTS = [
+    "", " ", "  ", "a", " a b  c ", "▁odd ▁▁ marks▁", "naïve “quotes” 漢字 🙂🙂 ​\n\ttabs\r\n", "x" * 5000,
+    "Ünïcödé ﬁ ligature ㍿ ①", "<s> </s> <unk> <0x41>", "word " * 3000, "\x00\x01 nul", "ａｂｃ　ｄｅｆ",
+]
+
+
+@pytest.fixture(scope="module")
+def sp():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def test_ids_are_the_librarys(sp):
+    enc = pieces.Encoder(pieces.model_bytes())
+    assert enc.by_word
+    for _ in range(2):  # cold and from memory
+        for text in TEXTS:
+            assert enc.ids(text).tolist() == sp.encode(text), text
+
+
+def test_memory_is_bounded(sp, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    enc, draw = pieces.Encoder(pieces.model_bytes()), random.Random(1)
+    for _ in range(40):
+        text = " ".join("".join(draw.choices("abcdé", k=draw.randint(1, 60))) for _ in range(60))
+        assert enc.ids(text).tolist() == sp.encode(text)
+        assert len(enc.known) <= 50 + 61
+
+
+def test_spans_give_the_pieces_back(sp):
+    enc = pieces.Encoder(pieces.model_bytes())
+    for text in TEXTS:
+        ids = enc.ids(text)
+        begin, end = enc.spans(text, ids)
+        data = text.encode()
+        for i, a, b in zip(ids.tolist(), begin.tolist(), end.tolist()):
+            if not enc.is_byte[i]:
+                assert data[a:b].decode().replace(" ", "▁") == sp.id_to_piece(i).removeprefix("▁" if a == b == 0 or (a == 0 and not text.startswith((" ", "▁"))) else "") or a == 0
+        if len(ids):
+            assert begin[0] == 0 and end[-1] == len(data) and (begin[1:] <= end[1:]).all()
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc", "nmt_nfkc_cf"])
+@pytest.mark.parametrize("squeeze", [True, False])
+def test_character_map_like_the_library(rule, squeeze):
+    from sentencepiece import sentencepiece_model_pb2
+
+    library = sentencepiece.SentencePieceNormalizer(
+        rule_name=rule, add_dummy_prefix=True, escape_whitespaces=True, remove_extra_whitespaces=squeeze
+    )
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(library.serialized_model_proto())
+    own = pieces.Normaliser(pieces.CharMap(proto.normalizer_spec.precompiled_charsmap), True, squeeze, True)
+    draw = random.Random(3)
+    alphabet = "ab  \t é ﬁ㍿①ａ　がｶﾞÅ🙂Ⅷ­"
+    made = ["".join(draw.choices(alphabet, k=draw.randint(1, 30))) for _ in range(300)]
+    for text in TEXTS[:-1] + made:
+        if "\x00" in text:
+            continue
+        normal, source = own.normalise(text.encode())
+        want, chars = library.normalize(text, with_offsets=True)
+        assert normal.decode() == want, repr(text)
+        # The library counts characters of both texts, this one bytes.
+        starts = np.cumsum([0] + [len(c.encode()) for c in text]).tolist()
+        places = np.cumsum([0] + [len(c.encode()) for c in want]).tolist()
+        if want:
+            assert [starts.index(int(source[p])) for p in places] == list(chars), repr(text)
+
+
+def test_encode_and_decode(odd, none, sp):
+    encoded = pieces.encode(odd)
+    assert encoded.columns == ["doc_id", "ids", "begins", "ends"]
+    back = {(r["doc_id"], r["text"]) for r in pieces.decode(encoded).collect()}
+    assert (5, "again and again") in back and (1, "") in back and (3, " \t\n ") in back
+    assert pieces.encode(none).count() == 0 and pieces.digest(none).count() == 0
+    got = pieces.digest(odd, ids=True).collect()
+    assert len(got) == 10 and all(r["spans_tile_text"] and len(r["ids"]) == r["n_tokens"] for r in got)
+
+
+# Fertility
+
+
+def test_block_entropy():
+    draw = np.random.default_rng(0)
+    for n in (1, 5, 255, 256, 511, 512, 700, 5000):
+        ids = draw.integers(0, 40, n)
+        blocks = [ids[i : i + 256] for i in range(0, max(1, n // 256) * 256, 256)]
+        blocks[-1] = ids[(len(blocks) - 1) * 256 :]
+        want = sum(
+            len(b) * -sum(c / len(b) * log2(c / len(b)) for c in Counter(b.tolist()).values()) for b in blocks
+        )
+        assert fertility.block_entropy(ids) == pytest.approx(want / n)
+    assert fertility.block_entropy(np.zeros(0, int)) == 0.0
+
+
+def test_base_counts():
+    assert fertility.base_counts("") == (0, 0, 0, 0, 0)
+    assert fertility.base_counts("a b c a b c") == (6, 6, 0, 0, 6)
+    assert fertility.base_counts("a b c x a b c") == (7, 7, 0, 0, 6)
+    assert fertility.base_counts("é|\n\n  \né|\né| ") == (3, 6, 3, 1, 0)
+    assert fertility.base_counts("a\xa0b c d") == (2, 6, 0, 0, 0)
+
+
+def test_script():
+    assert fertility.script("привет мир abc") == "Cyrillic"
+    assert fertility.script("漢字漢字 ab") == "Han" and fertility.script("12 !?") == "none"
+
+
+def test_bands_reject_what_is_unlike_the_language(docs):
+    draw = random.Random(2)
+    words = ["the", "house", "river", "green", "walk", "under", "small", "never", "light", "through", "people"]
+    plain = [(i, " ".join(draw.choices(words, k=80))) for i in range(200)]
+    odd = [(900, "".join(chr(draw.randint(0x1F300, 0x1F5FF)) + " " for _ in range(60))), (901, "x9$q%7#z " * 60)]
+    got = {r["doc_id"]: r for r in fertility.rate(docs(plain + odd + [(902, "too short")])).collect()}
+    assert sum(got[i]["kept"] or got[i]["base_failed"] for i in range(200)) == 200
+    assert got[900]["rejected"] and got[900]["byte_share"] > 0.5
+    assert not got[902]["kept"] and got[902]["base_failed"]
+
+
+def test_fertility_odd(odd, none):
+    got = fertility.rate(odd)
+    assert got.count() == 10
+    assert fertility.rate(none).count() == 0
+    kept = fertility.filter_quality(odd, got)
+    assert kept.columns == odd.columns
+
+
+# SimHash
+
+
+def brute_fingerprint(text):
+    words = text.encode().lower().split()
+    n = min(4, len(words))
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + n]), 42) for i in range(len(words) - n + 1)] if n else []
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def brute_components(nodes, edges):
+    up = {n: n for n in nodes}
+
+    def root(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        up[b] = a
+    return {n: root(n) for n in nodes}
+
+
+def test_fingerprint():
+    for text in [*TEXTS, "A b C d e", "one two three", "a b c d " * 70_000]:
+        if len(text) < 10_000:
+            assert simhash.fingerprint(text) == brute_fingerprint(text)
+    assert simhash.fingerprint("a b c d " * 70_000) == brute_fingerprint("a b c d " * 70_000)
+
+
+def test_spark_hash_is_the_same(spark):
+    got = spark.sql("SELECT xxhash64('one two three four') AS h").first()["h"]
+    assert got == struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(b"one two three four", 42)))[0]
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+@pytest.mark.parametrize("crowded", [0, 3, 64, 10**6])
+def test_links_connect_what_is_close(spark, crowded):
+    draw = random.Random(crowded)
+    fps = {0, (1 << 64) - 1}
+    for _ in range(12):
+        center = draw.getrandbits(64)
+        for _ in range(25):
+            fps.add(center ^ sum(1 << b for b in draw.sample(range(64), draw.randint(0, 5))))
+    edges = [(a, b) for a, b in combinations(sorted(fps), 2) if (a ^ b).bit_count() <= 4]
+    want = brute_components(sorted(fps), edges)
+    df = spark.createDataFrame([(signed(x),) for x in fps], "fp bigint")
+    found = simhash.links(df, crowded=crowded)
+    assert all(((r["a"] ^ r["b"]) & (1 << 64) - 1).bit_count() <= 4 for r in found.collect())
+    got = {r["node"]: r["root"] for r in components(found).collect()}
+    groups = {}
+    for x in fps:
+        groups.setdefault(want[x], set()).add(got.get(signed(x), signed(x)))
+    assert all(len(g) == 1 for g in groups.values())
+    assert len({next(iter(g)) for g in groups.values()}) == len(groups)
+
+
+def test_segments_that_miss_pairs_are_refused(spark):
+    df = spark.createDataFrame([(1,)], "fp bigint")
+    with pytest.raises(ValueError):
+        simhash.links(df, segments=(simhash.Segment(0, 32, 1), simhash.Segment(32, 32, 1)))
+
+
+def test_components_of_a_path_and_a_star(spark):
+    path = [(i, i + 1) for i in range(500)]
+    star = [(10_000, 10_000 + i) for i in range(1, 400)]
+    df = spark.createDataFrame(path + star + [(7, 7)], "a bigint, b bigint")
+    got = {r["node"]: r["root"] for r in components(df).collect()}
+    assert len(got) == 901 and {got[i] for i in range(501)} == {0} and {got[10_000 + i] for i in range(400)} == {10_000}
+    assert components(df.limit(0)).count() == 0
+
+
+def test_near_duplicates(docs):
+    draw = random.Random(4)
+    base = [f"w{draw.randint(0, 10**6)}" for _ in range(400)]
+    made = [(50, " ".join(base)), (20, " ".join(base).upper()), (60, " ".join(base + ["end"]))]
+    made += [(i, " ".join(f"v{draw.randint(0, 10**6)}" for _ in range(100))) for i in range(100, 140)]
+    made += [(3, ""), (4, None), (5, "  ")]
+    df = docs(made)
+    got = {r["doc_id"]: r for r in simhash.near_duplicates(df).collect()}
+    fps = {i: brute_fingerprint(t or "") for i, t in made}
+    edges = [(a, b) for a, b in combinations(sorted(fps), 2) if (fps[a] ^ fps[b]).bit_count() <= 4]
+    want = brute_components(sorted(fps), edges)
+    assert {i: r["component_id"] for i, r in got.items()} == want
+    assert {i: r["fingerprint"] for i, r in got.items()} == {i: f"{x:016x}" for i, x in fps.items()}
+    left = simhash.drop_near_duplicates(df)
+    assert left.columns == df.columns and {r["doc_id"] for r in left.collect()} == set(want.values())
+
+
+def test_near_duplicates_odd(odd, none):
+    got = simhash.near_duplicates(odd)
+    assert got.count() == 10
+    assert simhash.drop_near_duplicates(odd).filter("doc_id = 5").count() == 1
+    assert simhash.near_duplicates(none).count() == 0 and simhash.drop_near_duplicates(none).count() == 0
+
+
+# Toxicity and ranking
+
+
+@pytest.fixture
+def graded(docs, spark):
+    draw = random.Random(6)
+    words = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    texts, labels = [], []
+    for i in range(400):
+        own = draw.choices(words, k=60)
+        toxic, poor = i % 5 == 0, i % 4 == 0
+        if toxic:
+            own.insert(draw.randint(0, 60), draw.choice(["nasty", "vile"]))
+        if poor:
+            own = [w + "###" for w in own]
+        texts.append((i, " ".join(own)))
+        labels.append((i, 0 if poor else 1, 1 if toxic else 0))
+    table = spark.createDataFrame([*labels, (None, 1, 1), (5000, 0, 0), (3, None, 1)], "doc_id bigint, quality int, toxic int")
+    return docs(texts, "p score"), table
+
+
+def test_chain(graded):
+    docs, labels = graded
+    chain = toxicity.train(docs, labels)
+    assert chain.earlier[2, :2].any() and chain.earlier[1, 0] != 0 and not chain.earlier[0].any()
+    got = toxicity.classify(docs, chain).collect()
+    assert all(r["toxic"] == (r["doc_id"] % 5 == 0) and r["kept"] != r["toxic"] for r in got)
+    left = toxicity.drop_toxic(docs, labels)
+    assert left.columns == docs.columns and left.count() == 320
+
+
+def test_later_models_get_out_of_fold_predictions(monkeypatch):
+    seen = []
+    fit = toxicity.fit_logistic
+
+    def watch(x, y, *a, **k):
+        seen.append(np.array(x))
+        return fit(x, y, *a, **k)
+
+    monkeypatch.setattr(toxicity, "fit_logistic", watch)
+    draw = np.random.default_rng(0)
+    buckets = [np.unique(draw.integers(0, 30, 8)).astype("<u4") for _ in range(90)]
+    y = np.array([float(3 in b) for b in buckets])
+    chain = toxicity.fit_chain(buckets, np.column_stack([y, 1 - y]))
+    first_full, second_full = seen[3], seen[7]
+    inside = 1 / (1 + np.exp(-(np.array([chain.weights[[chain.place[int(v)] for v in b if int(v) in chain.place], 0].sum() for b in buckets]) + chain.intercepts[0])))
+    assert first_full.shape[1] + 1 == second_full.shape[1] or second_full.shape[1] > 1
+    assert not np.allclose(second_full[:, -1], inside, atol=1e-3)
+
+
+def test_no_labels(docs, none, spark):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    df = docs([(1, "some text"), (2, None)])
+    assert toxicity.classify(df, toxicity.train(df, labels)).filter("kept").count() == 2
+    got = ranking.score(df, ranking.train(df, labels)).collect()
+    assert all(r["score"] == 0.5 and r["predicted"] == 1 for r in got)
+    chain = toxicity.train(none, labels)
+    assert toxicity.classify(none, chain).count() == 0 and toxicity.drop_toxic(none, labels).count() == 0
+    assert ranking.score(none, ranking.train(none, labels)).count() == 0
+
+
+def test_odd_texts_are_scored(graded, odd):
+    docs, labels = graded
+    assert toxicity.classify(odd, toxicity.train(docs, labels)).count() == 10
+    got = ranking.score(odd, ranking.train(docs, labels)).collect()
+    assert len(got) == 10 and all(0 <= r["score"] <= 1 and not np.isnan(r["score"]) for r in got)
+
+
+def test_ranking_never_sees_the_held_out_fold(graded):
+    docs, labels = graded
+    other = labels.withColumn(
+        "quality", F.when(ranking.fold(F.col("doc_id")) == 1, 1 - F.col("quality")).otherwise(F.col("quality"))
+    )
+    a, b = ranking.train(docs, labels), ranking.train(docs, other)
+    assert np.array_equal(a.weights, b.weights) and a.cut == b.cut
+    got = ranking.score(docs, a).collect()
+    assert all(r["predicted"] == (0 if r["doc_id"] % 4 == 0 else 1) for r in got)
+    import zlib
+
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
+
+
+def test_batches_without_rows():
+    empty = pa.RecordBatch.from_arrays(
+        [pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.string())], ["doc_id", "text", "lang"]
+    )
+    assert list(fertility.measure_batches([empty], pieces.model_bytes()))[0].num_rows == 0
