@@ -65,6 +65,7 @@ def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
     keys = keys.filter("__kept").select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__n"
     )
+    keys = stored(keys, "kept-keys")  # nothing but shuffles below the join: a hot key is split
     columns = docs.columns
     found = docs.join(
         keys, docs["doc_id"].eqNullSafe(F.col("__id")) & (text_key(docs["text"]) == F.col("__key"))

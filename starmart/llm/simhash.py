@@ -30,7 +30,7 @@ SHINGLE = 4
 MAX_BITS = 4
 HASH_SEED = 42
 # Members of a table place from which on it counts as crowded.
-CROWDED = 64
+CROWDED = 256
 BLOCK = 1 << 16
 
 
@@ -173,7 +173,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, max_bits: int = MAX_B
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     rooted = stored(rooted, "rooted")
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written, so that the join has nothing but shuffles below it and a large component is split.
+    smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     classes = stored(rooted.join(smallest, "root").select("fp", "component_id"), "classes")
     return rows.join(classes, "fp").select(
         "doc_id",
