@@ -28,6 +28,8 @@ BLOCK = 256
 # thousand) and from this many documents that pass the base rules.
 MIN_SHARE = 0.001
 MIN_ROWS = 50
+# Measures of short texts scatter more: a band is wider by this many tokens over the text's number.
+SHORT = 100
 SYMBOLS = b"#*$%&|<>"
 SCRIPTS = {
     "Latin": "A-Za-zÀ-ÖØ-öø-ɏ",
@@ -57,9 +59,9 @@ class Band(NamedTuple):
 
 
 BANDS = (
-    Band("chars_per_token", 4.0, 0.2, True, True),
+    Band("chars_per_token", 4.0, 0.05, True, True),
     Band("byte_share", 4.0, 0.0, False, True, 0.05),
-    Band("entropy", 4.0, 0.15, True, False),
+    Band("entropy", 4.0, 0.05, True, False),
 )
 
 
@@ -161,8 +163,8 @@ def base_failed() -> Column:
 
 
 def fit_bands(measured: DataFrame, bands: tuple[Band, ...] = BANDS) -> DataFrame:
-    """Limits per language: ``band`` and ``<measure>_low``, ``<measure>_high``; ``band`` null is the
-    one for all other languages.
+    """Limits per language: ``band`` and ``<measure>_low``, ``_high``, ``_slack`` (how far they are from
+    the quartiles); ``band`` null is the one for all other languages.
 
     Quartiles are exact, of values rounded to hundredths, so that what a task keeps is bounded.
     At most ``1 / MIN_SHARE`` languages plus one row.
@@ -184,6 +186,7 @@ def fit_bands(measured: DataFrame, bands: tuple[Band, ...] = BANDS) -> DataFrame
         slack = F.greatest((q3 - q1) * b.reach, q2 * b.least, F.lit(b.floor))
         limits.append((q1 - slack if b.low else F.lit(float("-inf"))).alias(f"{b.measure}_low"))
         limits.append((q3 + slack if b.high else F.lit(float("inf"))).alias(f"{b.measure}_high"))
+        limits.append(slack.alias(f"{b.measure}_slack"))
     return own.unionByName(total).select("band", *limits)
 
 
@@ -198,12 +201,15 @@ def rate(docs: DataFrame, model: bytes | None = None, bands: tuple[Band, ...] =
     own = F.broadcast(limits.filter(F.col("band").isNotNull()))
     rest = limits.filter(F.col("band").isNull()).first()
     joined = measured.join(own, "band", "left")
+
+    def limit(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(rest[name] if rest else None).cast("double"))
+
     inside = F.lit(True)
     for b in bands:
-        for side, ok in (("low", "__ge__"), ("high", "__le__")):
-            name = f"{b.measure}_{side}"
-            limit = F.coalesce(F.col(name), F.lit(rest[name] if rest else None).cast("double"))
-            inside = inside & F.coalesce(getattr(F.col(b.measure), ok)(limit), F.lit(True))
+        value, more = F.col(b.measure), limit(f"{b.measure}_slack") * SHORT / F.col("n_tokens")
+        for ok in (value >= limit(f"{b.measure}_low") - more, value <= limit(f"{b.measure}_high") + more):
+            inside = inside & F.coalesce(ok, F.lit(True))
     return (
         joined.withColumn("base_failed", base_failed())
         .withColumn("rejected", ~inside)
