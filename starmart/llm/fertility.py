@@ -207,7 +207,7 @@ def rate(docs: DataFrame, model: bytes | None = None, bands: tuple[Band, ...] =
 
     inside = F.lit(True)
     for b in bands:
-        value, more = F.col(b.measure), limit(f"{b.measure}_slack") * SHORT / F.col("n_tokens")
+        value, more = F.col(b.measure), limit(f"{b.measure}_slack") * SHORT / F.greatest("n_tokens", F.lit(1))
         for ok in (value >= limit(f"{b.measure}_low") - more, value <= limit(f"{b.measure}_high") + more):
             inside = inside & F.coalesce(ok, F.lit(True))
     return (
