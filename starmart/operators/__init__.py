@@ -13,6 +13,7 @@ from starmart.operators.joins import anti_new, enrich
 from starmart.operators.quality import (
     QualityError,
     TableCheck,
+    check_keys,
     check_min_rows,
     check_not_null,
     check_unique,
@@ -26,6 +27,7 @@ __all__ = [
     "TableCheck",
     "add_id",
     "anti_new",
+    "check_keys",
     "check_min_rows",
     "check_not_null",
     "check_unique",

@@ -31,8 +31,16 @@ def _rest(df: DataFrame, used: Iterable[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in df.columns if c not in taken]
 
 
-def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the lowest by ``order_by``, then by all other columns (nulls last)."""
+def dedup_by_key(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), combine: bool = False
+) -> DataFrame:
+    """One row per key: the lowest by ``order_by``, then by all other columns (nulls last).
+
+    ``combine=True`` first makes rows distinct with a hash aggregate, so that fewer are sorted: right
+    where most rows are repeats. The order covers all columns, so the kept row is the same.
+    """
+    if combine:
+        df = df.distinct()
     order = [F.col(c).asc_nulls_last() for c in order_by] + _rest(df, [*keys, *order_by])
     return _first_per_key(df, keys, order or [F.col(keys[0])])
 

@@ -13,14 +13,16 @@ from starmart.session import work_dir
 KINDS = ("hash", "sequence", "monotonic")
 
 
-def _sequence(df: DataFrame, name: str, start: int, order_by: Sequence[str]) -> DataFrame:
+def _sequence(
+    df: DataFrame, name: str, start: int, order_by: Sequence[str], scratch: str | None
+) -> DataFrame:
     spark, columns = df.sparkSession, [c for c in df.columns if c != name]
     rows = df.select(*columns)
     if order_by:
         # The input partition as last range column splits rows of equal order over several tasks.
         spread = rows.withColumn("__from", F.spark_partition_id())
         rows = spread.repartitionByRange(*order_by, "__from").sortWithinPartitions(*order_by).drop("__from")
-    path = work_dir(spark, "sequence")
+    path = scratch or work_dir(spark, "sequence")
     rows.write.parquet(path)
     # The number within the file and the file itself are facts of the written table: they stay the
     # same however the table is split for reading and whatever task is run again.
@@ -28,12 +30,12 @@ def _sequence(df: DataFrame, name: str, start: int, order_by: Sequence[str]) ->
         {"__file": F.col("_metadata.file_name"), "__row": F.col("_metadata.row_index")}
     )
     counts = fixed.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per written file: a window over these, and their broadcast, stay small.
+    # One row per written file; Spark broadcasts the offsets if they turn out to be small.
     task = F.regexp_extract("__file", r"part-(\d+)", 1).cast("bigint")
     before = Window.orderBy(task, "__file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
     number = F.lit(start) + F.col("__offset") + F.col("__row")
-    return fixed.join(F.broadcast(offsets), "__file").select(*columns, number.alias(name))
+    return fixed.join(offsets, "__file").select(*columns, number.alias(name))
 
 
 def add_id(
@@ -43,6 +45,7 @@ def add_id(
     cols: Sequence[str] = (),
     start: int = 1,
     order_by: Sequence[str] = (),
+    scratch: str | None = None,
 ) -> DataFrame:
     """Add a bigint key column.
 
@@ -51,7 +54,8 @@ def add_id(
     beside the business key, or use ``sequence``.
     ``sequence``: dense from ``start``. Writes the rows to the shared checkpoint folder, counts them
     per file (from the footers) and adds offsets; no shuffle and no window over the rows.
-    ``order_by`` adds a range shuffle so that the numbers follow that order.
+    ``order_by`` adds a range shuffle so that the numbers follow that order. The rows are written to
+    ``scratch`` if given, which the caller may remove once the result is used up.
     ``monotonic``: unique in this frame from ``start``, with gaps; not repeatable between runs.
     """
     if kind == "hash":
@@ -61,5 +65,5 @@ def add_id(
     if kind == "monotonic":
         return df.withColumn(name, F.monotonically_increasing_id() + F.lit(start))
     if kind == "sequence":
-        return _sequence(df, name, start, order_by)
+        return _sequence(df, name, start, order_by, scratch)
     raise ValueError(f"kind is one of {KINDS}, not {kind!r}")

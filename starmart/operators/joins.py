@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from starmart.operators.dedup import dedup_by_key
 from starmart.operators.skew import complete, hot_keys, salt_left, salt_right
 
 FANOUT = ("keep", "first", "error")
+NULL_RULES = ("not in", "equal")
 
 
 def _one_match(dim: DataFrame, keys: Sequence[str], fanout: str) -> DataFrame:
@@ -75,7 +78,10 @@ def enrich(
 
 
 def _near(target: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Target rows within the span of the batch, as literal bounds that reach the file scan."""
+    """Target rows within the span of the batch, as literal bounds that reach the file scan.
+
+    Rows with a null in ``columns`` are outside every span.
+    """
     every = F.struct(*columns)
     span = batch.agg(
         F.struct(*[F.min(c).alias(c) for c in columns]).alias("min"),
@@ -108,11 +114,18 @@ def anti_new(
     target: DataFrame,
     key: str | Sequence[str],
     prune_by: Sequence[str] = (),
+    nulls: str = "not in",
+    unique_target: bool = False,
 ) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``target``, with the null rules of ``NOT IN``.
+    """Rows of ``df`` whose key is not in ``target``.
+
+    ``nulls="not in"`` has the null rules of ``NOT IN``: an empty target keeps every row, a non-empty
+    one drops rows with a null in their key, since the comparison is unknown for them. With
+    ``nulls="equal"`` nulls are values like any other: such a row is new unless the target holds one
+    with nulls in the same places. It is an equi-join as well.
 
-    An empty target keeps every row. A non-empty one drops rows with a null in their key, since the
-    comparison is unknown for them. Target keys are primary keys and so not null.
+    The target's keys are made distinct before they are shuffled, so that a key repeated there costs
+    one row per task; ``unique_target`` skips this where the key is the target's primary key.
 
     Written as a left anti join rather than ``NOT IN``, which Spark can only run by broadcasting
     the whole target. ``prune_by`` names columns that are part of the key or functions of it: of the
@@ -120,7 +133,18 @@ def anti_new(
     folders (partition columns) or row groups (other columns, if the files are sorted by them).
     Finding that range is a small job of its own over those columns of the batch.
     """
+    if nulls not in NULL_RULES:
+        raise ValueError(f"nulls is one of {NULL_RULES}, not {nulls!r}")
     keys = [key] if isinstance(key, str) else list(key)
-    wanted = _near(target, df.filter(complete(keys)), prune_by) if prune_by else target
-    fresh = df.join(wanted.select(*keys), keys, "left_anti").select(*df.columns)
+    wanted = target
+    if prune_by:
+        wanted = _near(target, df.filter(complete(keys)) if nulls == "not in" else df, prune_by)
+        if nulls == "equal":
+            wanted = wanted.unionByName(target.filter(~complete(prune_by)))
+    known = wanted.select(*keys) if unique_target else wanted.select(*keys).distinct()
+    if nulls == "equal":
+        known = known.toDF(*[f"__known_{k}" for k in keys])
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__known_{k}")) for k in keys])
+        return df.join(known, same, "left_anti")
+    fresh = df.join(known, keys, "left_anti").select(*df.columns)
     return fresh.filter(complete(keys) | ~target.exists())

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.schemas import TableSpec
+
 
 class QualityError(ValueError):
     """A table did not pass a check."""
@@ -57,6 +59,16 @@ def check_not_null(df: DataFrame, cols: Sequence[str], blank: bool = False) -> D
     return df.agg(*[F.count_if(F.coalesce(gap(c), F.lit(False))).alias(c) for c in cols])
 
 
+def check_keys(df: DataFrame, spec: TableSpec) -> None:
+    """Fail unless the key of ``spec`` is unique in ``df`` and no column that must not be null is."""
+    repeated = check_unique(df, spec.pk).limit(3).collect()
+    if repeated:
+        raise QualityError(f"{spec.name}: repeated keys, e.g. {[tuple(r)[:-1] for r in repeated]}")
+    gaps = check_not_null(df, spec.not_null).first().asDict() if spec.not_null else {}
+    if any(gaps.values()):
+        raise QualityError(f"{spec.name}: nulls in {[c for c, n in gaps.items() if n]}")
+
+
 def preview(df: DataFrame, n: int = 2, order_by: Sequence[str] = ()) -> DataFrame:
     """The first ``n`` rows; with ``order_by`` a top-n that needs no full sort."""
     return (df.orderBy(*order_by) if order_by else df).limit(n)

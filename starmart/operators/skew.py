@@ -14,6 +14,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.session import remove_dir, work_dir
+
 
 def complete(keys: Sequence[str]) -> Column:
     """No part of the key is null, so the row can match at all."""
@@ -23,12 +25,20 @@ def complete(keys: Sequence[str]) -> Column:
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.001) -> DataFrame:
     """Keys that hold more than ``share`` of all rows with a complete key.
 
-    At most ``1 / share`` keys can, so the result may be broadcast at any data size. The counts are
-    combined before the shuffle. The total comes from the same counts, not from a second scan.
+    At most ``1 / share`` keys can, so they are found once, in one pass over the key columns, and
+    come back as a local table that may be broadcast at any data size. Counts are combined before the
+    shuffle and written, so that their total needs no second pass.
     """
+    spark = df.sparkSession
+    path = work_dir(spark, "key-counts")
     counts = df.filter(complete(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n")).scalar()
-    return counts.filter(F.col("__n") > F.lit(share) * total).select(*keys)
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    found = counts.filter(F.col("__n") > F.lit(share * total)).select(*keys)
+    hot = spark.createDataFrame(found.collect(), found.schema)
+    remove_dir(spark, path)
+    return hot
 
 
 def _flag(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -156,6 +156,7 @@ LAKE_SONGPLAYS = table(
     "userId string, level string, artist string, song_id string, artist_id string, sessionId int, "
     "location string, userAgent string, start_time timestamp, month int, year int, id bigint",
     pk="id",
+    not_null="start_time userId",
     partition_by="year month",
     sort_by="start_time",
 )

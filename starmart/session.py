@@ -48,6 +48,12 @@ def checkpoint_base(spark: SparkSession) -> str:
     return local
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that this library made."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path (not yet created) below the shared folder."""
     return f"{checkpoint_base(spark)}/{label}-{uuid.uuid4().hex}"

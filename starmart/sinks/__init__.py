@@ -6,6 +6,7 @@ from starmart.sinks.tables import (
     drop_table,
     ensure_table,
     load_dimension,
+    name_folder,
     publish,
     table_location,
     upsert_dimension,
@@ -20,6 +21,7 @@ __all__ = [
     "load_dimension",
     "load_fact",
     "load_new",
+    "name_folder",
     "publish",
     "read_target",
     "table_location",

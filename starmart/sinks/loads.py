@@ -6,12 +6,15 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starmart.functions import hash_key
 from starmart.operators.clean import conform
 from starmart.operators.dedup import dedup_by_key
 from starmart.operators.identity import add_id
 from starmart.operators.joins import anti_new
 from starmart.schemas import TableSpec
+from starmart.session import remove_dir, work_dir
 from starmart.sinks.parquet import write_parquet
 
 
@@ -35,10 +38,23 @@ def has_rows(df: DataFrame) -> bool:
 
 def _load(
     df: DataFrame, path: str, spec: TableSpec, key: Sequence[str], prune_by: Sequence[str],
-    count_skipped: bool, finish=lambda fresh: fresh,
+    count_skipped: bool, nulls: str, finish=lambda fresh, target, scratch: fresh,
 ) -> LoadResult:
-    fresh = anti_new(df, read_target(df.sparkSession, path, spec), key, prune_by)
-    inserted = write_parquet(finish(fresh), path, spec.partition_by, "append", spec.sort_by)
+    """Append what is new. Nothing new leaves no file: the new rows are written aside first, which
+    costs as much as the batch, however large the target is."""
+    spark = df.sparkSession
+    missing = [f.name for f in spec.schema if f.name in key and f.nullable]
+    if nulls == "not in" and missing:
+        raise ValueError(f"{spec.name}: {missing} may be null; compare with nulls='equal'")
+    target = read_target(spark, path, spec)
+    fresh = anti_new(df, target, key, prune_by, nulls, unique_target=set(spec.pk) <= set(key))
+    aside, scratch = work_dir(spark, "new-rows"), work_dir(spark, "sequence")
+    inserted = write_parquet(fresh, aside)
+    if inserted:
+        rows = finish(spark.read.schema(fresh.schema).parquet(aside), target, scratch)
+        write_parquet(rows, path, spec.partition_by, "append", spec.sort_by)
+    for folder in (aside, scratch):
+        remove_dir(spark, folder)
     return LoadResult(inserted, df.count() - inserted if count_skipped else None)
 
 
@@ -49,13 +65,19 @@ def load_new(
     key: Sequence[str] | None = None,
     prune_by: Sequence[str] = (),
     count_skipped: bool = False,
+    nulls: str = "not in",
+    dedup_batch: bool = False,
 ) -> LoadResult:
     """Append the rows whose key (``spec.pk`` by default) the target does not hold.
 
-    One plan, one write: a second run of the same batch inserts nothing. ``prune_by``: see
-    ``anti_new``. ``count_skipped`` costs a separate count of the batch.
+    A second run of the same batch inserts nothing and leaves no file. ``prune_by`` and ``nulls``: see
+    ``anti_new``; a key with columns that may be null needs ``nulls="equal"``. ``count_skipped`` costs
+    a separate count of the batch; ``dedup_batch`` keeps one row per key of it.
     """
-    return _load(conform(df, spec), path, spec, key or spec.pk, prune_by, count_skipped)
+    rows, key = conform(df, spec), key or spec.pk
+    if dedup_batch:
+        rows = dedup_by_key(rows, key, combine=True)
+    return _load(rows, path, spec, key, prune_by, count_skipped, nulls)
 
 
 def load_fact(
@@ -64,16 +86,18 @@ def load_fact(
     spec: TableSpec,
     key: Sequence[str],
     id_kind: str = "hash",
-    id_start: int = 1,
+    id_start: int | None = None,
     dedup_batch: bool = False,
     prune_by: Sequence[str] = (),
     count_skipped: bool = False,
+    nulls: str = "not in",
 ) -> LoadResult:
     """Append new fact rows by business key and give them their id.
 
     ``df`` has all columns of ``spec`` but the id. The key is compared with the target only, so
     equal keys inside one batch are all loaded unless ``dedup_batch``. A hash id is taken over
-    every column, so only identical rows share one.
+    every column and, from the second on, the number of the copy: identical rows of one batch get
+    ids of their own. A sequence goes on from the target's largest id unless ``id_start`` is given.
     """
     (id_column,) = spec.pk
     columns = [c for c in spec.columns if c != id_column]
@@ -81,7 +105,23 @@ def load_fact(
     if dedup_batch:
         batch = dedup_by_key(batch, key)
 
-    def number(fresh: DataFrame) -> DataFrame:
-        return conform(add_id(fresh, id_kind, id_column, columns, id_start), spec)
-
-    return _load(batch, path, spec, key, prune_by, count_skipped, number)
+    def number(fresh: DataFrame, target: DataFrame, scratch: str) -> DataFrame:
+        if id_kind == "hash":
+            # Copies are counted, which is combined before the shuffle, and written out again.
+            counted = fresh.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+            copies = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+            first = add_id(copies, "hash", id_column, columns)
+            later = hash_key([*columns, "__copy"])
+            numbered = first.withColumn(
+                id_column, F.when(F.col("__copy") > 1, later).otherwise(F.col(id_column))
+            )
+            return conform(numbered, spec)
+        start = id_start
+        if start is None:
+            start = 1
+            if id_kind == "sequence":
+                # Answered from the files' statistics.
+                start = (target.agg(F.max(id_column)).first()[0] or 0) + 1
+        return conform(add_id(fresh, id_kind, id_column, columns, start, scratch=scratch), spec)
+
+    return _load(batch, path, spec, key, prune_by, count_skipped, nulls, number)

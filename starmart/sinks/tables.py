@@ -14,9 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators.clean import conform
 from starmart.operators.dedup import merge_latest
-from starmart.operators.joins import anti_new
 from starmart.schemas import TableSpec
-from starmart.sinks.loads import LoadResult
+from starmart.sinks.loads import LoadResult, load_new
 from starmart.sinks.parquet import write_parquet
 
 
@@ -33,6 +32,19 @@ def ensure_table(spark: SparkSession, spec: TableSpec, base: str, name: str | No
     )
 
 
+def name_folder(
+    spark: SparkSession, spec: TableSpec, folder: str, name: str | None = None, extra: str = ""
+) -> None:
+    """Give the Parquet files of ``folder`` a table's name; ``extra`` is a further text column."""
+    table = name or spec.name
+    ddl = f"{spec.ddl}, `{extra}` string" if extra else spec.ddl
+    parts = f"PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet {parts} LOCATION '{folder}'")
+    if spec.partition_by:
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
 def drop_table(spark: SparkSession, name: str | TableSpec) -> None:
     """Drop the table if it exists; the files of an external table stay."""
     spark.sql(f"DROP TABLE IF EXISTS {name.name if isinstance(name, TableSpec) else name}")
@@ -68,10 +80,9 @@ def load_dimension(
         return LoadResult(publish(df, spec, base, name))
     table = name or spec.name
     spark = df.sparkSession
-    fresh = anti_new(conform(df, spec), spark.table(table), spec.pk)
-    inserted = write_parquet(fresh, table_location(spark, table), mode="append")
+    loaded = load_new(df, table_location(spark, table), spec)
     spark.catalog.refreshTable(table)
-    return LoadResult(inserted)
+    return loaded
 
 
 def upsert_dimension(

@@ -152,3 +152,25 @@ def rows_read(df):
 
     walk(df._jdf.queryExecution().executedPlan())
     return found
+
+
+def test_null_safe_keys_count_as_values(spark, folder):
+    batch = spark.createDataFrame([(1, None), (1, "a"), (None, None), (2, None)], "t int, s string")
+    target = spark.createDataFrame([(1, None), (None, None)], "t int, s string")
+    assert rows(anti_new(batch, target, ["t", "s"], nulls="equal")) == [(1, "a"), (2, None)]
+    assert rows(anti_new(batch, target, ["t", "s"])) == [(1, "a")]
+    for prune in (["t"], ["t", "s"]):
+        assert rows(anti_new(batch, target, ["t", "s"], prune, nulls="equal")) == [(1, "a"), (2, None)]
+    with pytest.raises(ValueError):
+        anti_new(batch, target, "t", nulls="other")
+
+
+def test_repeated_target_keys_are_combined_before_their_shuffle(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    batch = spark.range(10).selectExpr("id AS k", "id AS v")
+    target = spark.range(1000).selectExpr("id % 3 AS k")
+    text = plan(anti_new(batch, target, "k"))
+    assert "HashAggregate" in text and "SortMergeJoin" in text or "ShuffledHashJoin" in text
+    assert "HashAggregate(keys=[k" in text
+    assert rows(anti_new(batch, target, "k")) == [(i, i) for i in range(3, 10)]
+    assert "HashAggregate(keys=[k" not in plan(anti_new(batch, target, "k", unique_target=True))

@@ -165,3 +165,31 @@ def test_loads_do_not_depend_on_row_order(spark, folder):
     random.Random(1).shuffle(keys)
     load_new(items(spark, *keys).repartition(7), folder, ITEMS)
     assert load_new(items(spark, *sorted(keys)), folder, ITEMS).inserted == 0
+
+
+
+def test_an_empty_load_leaves_no_file(spark, folder):
+    spec = table("t", "id int, v int", pk="id")
+    batch = spark.createDataFrame([(1, 1)], "id int, v int")
+    load_new(batch, folder, spec)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    before = rows(listed.select("path"))
+    for _ in range(3):
+        assert load_new(batch, folder, spec).inserted == 0
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    assert rows(listed.select("path")) == before
+
+
+def test_ids_go_on_over_loads_and_copies_get_their_own(spark, folder):
+    spec = table("f", "id bigint, t int, v string", pk="id", not_null="t")
+    first = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "t int, v string")
+    second = spark.createDataFrame([(2, "x"), (3, "b"), (4, "c")], "t int, v string")
+    for batch in (first, second):
+        load_fact(batch, folder, spec, ["t"], "sequence")
+    assert sorted(r["id"] for r in read_target(spark, folder, spec).collect()) == [1, 2, 3, 4, 5]
+    hashed = f"{folder}-hash"
+    load_fact(first, hashed, spec, ["t"])
+    got = read_target(spark, hashed, spec)
+    assert got.count() == 3 and got.select("id").distinct().count() == 3
+    with pytest.raises(ValueError, match="may be null"):
+        load_fact(first, hashed, spec, ["t", "v"])
