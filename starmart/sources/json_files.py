@@ -30,6 +30,21 @@ def date_prefix(base: str, day: date | None, style: str = "plain") -> str:
     return base if day is None else base.rstrip("/") + "/" + DAY_FOLDERS[style].format(day)
 
 
+def json_options(
+    spec: TableSpec | T.StructType, corrupt: str
+) -> tuple[T.StructType, dict[str, str]]:
+    """Schema and reader options for JSON lines, of files or of a stream."""
+    if corrupt not in CORRUPT_MODES:
+        raise ValueError(f"corrupt is one of {CORRUPT_MODES}, not {corrupt!r}")
+    schema = spec.schema if isinstance(spec, TableSpec) else spec
+    # File columns may always be absent; NOT NULL is checked on the target.
+    fields = [T.StructField(f.name, f.dataType, True) for f in schema]
+    if corrupt != "keep":
+        return T.StructType(fields), {"mode": "DROPMALFORMED" if corrupt == "drop" else "FAILFAST"}
+    fields.append(T.StructField(CORRUPT_COLUMN, T.StringType(), True))
+    return T.StructType(fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+
+
 def read_json(
     spark: SparkSession,
     path: str | list[str],
@@ -44,21 +59,12 @@ def read_json(
     differ between queries; ``stage_json`` parses all of them once and settles it. A folder without
     a glob is read with everything below it, as a prefix would be.
     """
-    if corrupt not in CORRUPT_MODES:
-        raise ValueError(f"corrupt is one of {CORRUPT_MODES}, not {corrupt!r}")
-    schema = spec.schema if isinstance(spec, TableSpec) else spec
-    # File columns may always be absent; NOT NULL is checked on the target.
-    fields = [T.StructField(f.name, f.dataType, True) for f in schema]
+    schema, options = json_options(spec, corrupt)
     paths = [path] if isinstance(path, str) else path
     if recursive is None:
         recursive = not any("*" in p for p in paths)
-    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
-    if corrupt == "keep":
-        fields.append(T.StructField(CORRUPT_COLUMN, T.StringType(), True))
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    else:
-        reader = reader.option("mode", "DROPMALFORMED" if corrupt == "drop" else "FAILFAST")
-    return reader.schema(T.StructType(fields)).json(paths)
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower()).options(**options)
+    return reader.schema(schema).json(paths)
 
 
 def stage_json(

@@ -3,6 +3,7 @@
 from starmart.streaming.loads import (
     read_json_stream,
     stream_dedup,
+    stream_dedup_within,
     stream_fact,
     stream_stage,
     stream_upsert_latest,
@@ -11,6 +12,7 @@ from starmart.streaming.loads import (
 __all__ = [
     "read_json_stream",
     "stream_dedup",
+    "stream_dedup_within",
     "stream_fact",
     "stream_stage",
     "stream_upsert_latest",

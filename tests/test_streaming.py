@@ -7,9 +7,12 @@ from starmart.plans import recipes
 from starmart.schemas import FACT_SONGPLAYS, STAGING_EVENTS, table
 from starmart.session import work_dir
 from starmart.sinks import ensure_table, read_target
+from starmart.sources import stage_json
+from starmart.sources.json_files import good_rows
 from starmart.streaming import (
     read_json_stream,
     stream_dedup,
+    stream_dedup_within,
     stream_fact,
     stream_stage,
     stream_upsert_latest,
@@ -67,7 +70,8 @@ def test_dedup_within_the_watermark(spark, arrive, folder):
     spec = table("t", "user string, at timestamp")
     src = arrive("a.json", [dict(user=u, at="2024-01-01T00:00:00") for u in "aab"])
     arrive("b.json", [dict(user="a", at="2024-01-01T00:00:00"), dict(user="c", at="2024-01-01T00:00:01")])
-    stream = stream_dedup(read_json_stream(spark, src, spec), ["user", "at"], "at", "1 hour")
+    raw = read_json_stream(spark, src, spec, corrupt="drop")
+    stream = stream_dedup_within(raw, ["user", "at"], "at", "1 hour")
     query = (
         stream.writeStream.format("parquet").option("path", folder)
         .option("checkpointLocation", work_dir(spark, "state")).trigger(availableNow=True).start()
@@ -77,6 +81,47 @@ def test_dedup_within_the_watermark(spark, arrive, folder):
     assert rows(spark.read.parquet(folder)) == [("a", first), ("b", first), ("c", second)]
 
 
+def test_late_rows_are_neither_lost_nor_doubled(spark, arrive, folder):
+    spec = table("t", "user string, at timestamp", pk="user at", sort_by="at")
+    hours = [("a", 12), ("b", 13)], [("new", 2), ("a", 12)], [("new", 2), ("b", 13)], [(None, 1), (None, 1)]
+    for i, rows_ in enumerate(hours):
+        src = arrive(f"{i}.json", [dict(user=u, at=f"2024-01-01T{h:02}:00:00") for u, h in rows_])
+    stream = read_json_stream(spark, src, spec, files_per_trigger=1)
+    for _ in range(2):
+        stream_dedup(stream, folder, spec, work_dir(spark, "state")).awaitTermination()
+    got = [(r["user"], r["at"].hour) for r in read_target(spark, folder, spec).collect()]
+    assert sorted(got, key=str) == sorted([("a", 12), ("b", 13), ("new", 2), (None, 1)], key=str)
+
+
+def test_unmatched_plays_survive_several_batches(spark, arrive, folder):
+    log, songs = frames(spark)
+    for i, day in enumerate((DAY_1, DAY_2)):
+        src = arrive(f"{i}.json", day)
+    key = ("start_time", "user_id", "session_id", "song_id")
+    stream = read_json_stream(spark, src, STAGING_EVENTS, files_per_trigger=1)
+    with pytest.raises(Exception, match="may be null"):
+        stream_fact(stream, songs, folder, work_dir(spark, "state"), key).awaitTermination()
+    for _ in range(2):
+        state = work_dir(spark, "state")
+        stream_fact(stream, songs, folder, state, key, nulls="equal").awaitTermination()
+    batch = recipes.songplays(log, songs)
+    assert batch.filter("song_id IS NULL").count() > 0
+    assert rows(read_target(spark, folder, FACT_SONGPLAYS).drop("id")) == rows(batch)
+
+
+def test_bad_lines_are_kept_as_the_batch_reader_keeps_them(spark, tmp_path, folder):
+    base = tmp_path / "bad"
+    base.mkdir()
+    good = json.dumps(DAY_1[0])
+    (base / "a.json").write_text(good + '\nnot json\n{"ts": "text", "page": "NextSong"}\n')
+    stream_stage(spark, str(base), folder, STAGING_EVENTS, work_dir(spark, "state")).awaitTermination()
+    batch = work_dir(spark, "batch")
+    stage_json(spark, str(base), batch, STAGING_EVENTS)
+    streamed = spark.read.parquet(folder)
+    assert rows(streamed) == rows(spark.read.parquet(batch))
+    assert good_rows(streamed).count() == 1
+
+
 def test_upserts_keep_the_newest_level_in_any_order(spark, arrive, folder, database):
     name = f"{database}.users"
     ensure_table(spark, DATED, folder, name)
