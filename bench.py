@@ -52,6 +52,10 @@ HEADLINE = (
     "stage_day",
     "partition_read",
     "stream_fact_equals_batch",
+    "load_fact_pruned",
+    "stream_users",
+    "warehouse_load",
+    "lake_load",
 )
 RUNS = 3
 

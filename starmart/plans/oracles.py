@@ -316,6 +316,20 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 3, 0, everything FROM n""",
     "load_fact_twice": _songplays(),
     "load_fact_pruned": _lake_songplays("AND ts IS NOT NULL"),
+    "fact_ids_over_loads": _with(
+        "log songs",
+        f""" SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(1 AS BIGINT) AS first_id,
+               count(*) AS last_id FROM log l LEFT JOIN songs s ON {MATCH} WHERE {KNOWN_PLAY}""",
+    ),
+    "fact_hash_ids": _with(
+        "log songs",
+        f""" SELECT 2 * count(*) AS n_rows, 2 * count(*) AS n_ids
+        FROM log l LEFT JOIN songs s ON {MATCH} WHERE {KNOWN_PLAY}""",
+    ),
+    "append_insert": f"""
+        SELECT id, name, location, CAST(latitude AS BIGINT) AS latitude,
+               CAST(longitude AS BIGINT) AS longitude
+        FROM ({_first(ARTIST_COLUMNS, "song_feed", "artist_id", FEED_ARTIST_ORDER, "artist_id <> ''")})""",
     "dimension_refresh": _with(
         "visits",
         f"""
@@ -357,6 +371,19 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'dim_time', count(DISTINCT ts // 1000) FROM log WHERE page = 'NextSong'
         UNION ALL SELECT 'dim_users', count(DISTINCT "userId") FROM log WHERE {KNOWN_PLAY}""",
     ),
+    "warehouse_days": _with(
+        "log songs",
+        f"""
+        , known AS (
+          SELECT {USER_COLUMNS} FROM (
+            SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY {USER_ORDER}) AS rn
+            FROM log WHERE {KNOWN_PLAY}) WHERE rn = 1),
+        played AS (
+          SELECT CAST("userId" AS INTEGER) AS id, count(*) AS n_plays, count(*) AS n_known
+          FROM log l LEFT JOIN songs s ON {MATCH} WHERE {KNOWN_PLAY} GROUP BY "userId")
+        SELECT id, first_name, last_name, gender, level, n_plays, n_known
+        FROM known FULL JOIN played USING (id)""",
+    ),
     "lake_load": _with(
         "log songs",
         f"""
@@ -371,6 +398,7 @@ ORACLES: dict[str, str] = {
     ),
     "stream_stage_equals_batch": LOG_ROWS,
     "stream_fact_equals_batch": _songplays(),
+    "stream_fact_again": _songplays(),
     "stream_seconds": _with(
         "visits",
         f""" SELECT DISTINCT {SECOND} AS start_time, "userId" FROM visits

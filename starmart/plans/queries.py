@@ -41,13 +41,16 @@ from starmart.plans.bindings import TABLES, log, song_feed, songs, table, visits
 from starmart.plans.recipes import SONG_IDS, SONG_MATCH, USER_FIELDS, USER_NAMES
 from starmart.plans.runs import run_lake, run_warehouse
 from starmart.schemas import (
+    DIM_ARTISTS_WHOLE,
     DIM_SONGS_WHOLE,
+    DIM_TIME,
     DIM_TIME_TEXT,
     DIM_USERS,
     FACT_SONGPLAYS,
     LAKE,
     MISSING_TEXT,
     PLAY_PAGE,
+    STAGING,
     STAGING_EVENTS,
     STAGING_SONGS,
     WAREHOUSE,
@@ -55,6 +58,7 @@ from starmart.schemas import (
 from starmart.schemas import table as table_spec
 from starmart.session import work_dir
 from starmart.sinks import (
+    append,
     drop_table,
     ensure_table,
     load_dimension,
@@ -65,7 +69,7 @@ from starmart.sinks import (
     upsert_dimension,
     write_parquet,
 )
-from starmart.sources import read_json, stage_json
+from starmart.sources import date_prefix, read_json, stage_json
 from starmart.sources.json_files import good_rows
 from starmart.streaming import (
     read_json_stream,
@@ -92,9 +96,10 @@ VISIT_SPEC = table_spec(
 )
 USERS_DATED = table_spec(
     "users_dated",
-    "userId string, firstName string, lastName string, gender string, level string, ts bigint",
+    "userId int, firstName string, lastName string, gender string, level string, ts bigint",
     pk="userId",
 )
+SECONDS = table_spec("seconds", "start_time timestamp, userId string", pk="start_time userId", sort_by="start_time")
 EVENTS_BY_DAY = table_spec(
     "events_by_day",
     "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string, "
@@ -102,7 +107,8 @@ EVENTS_BY_DAY = table_spec(
     pk="event_id",
     partition_by="year month day",
 )
-# In the bound log one user plays several songs of a session within a second.
+# In the bound log one user plays several songs of a session within a second. The song is null where
+# none matched.
 STREAM_KEY = ("start_time", "user_id", "session_id", "song_id")
 
 
@@ -473,16 +479,55 @@ def load_fact_twice(spark, sf_dir):
 
 @query
 def load_fact_pruned(spark, sf_dir):
-    """The lake fact in two loads, the second reading only target folders of its own months."""
+    """The lake fact in two loads, the second of one year and the quarter before it: of the target it
+    reads the folders of those months only."""
     path = work_dir(spark, "lake-fact")
     spec = next(s for s in LAKE if s.name == "songplays")
     plays = songplays_lake(spark, sf_dir)
-    for batch in (plays.filter(F.col("year") < 1998), plays):
+    late = (F.col("year") == 1998) | ((F.col("year") == 1997) & (F.col("month") >= 10))
+    for batch in (plays.filter(F.col("year") != 1998), plays.filter(late)):
         prune_by = (*spec.partition_by, *spec.sort_by)
         load_fact(batch, path, spec, ("start_time", "userId"), prune_by=prune_by)
     return read_target(spark, path, spec).drop("id")
 
 
+@query
+def fact_ids_over_loads(spark, sf_dir):
+    """Dense ids of the fact after two loads: they go on where the first load ended."""
+    path = work_dir(spark, "fact")
+    plays = songplays_fact(spark, sf_dir)
+    for batch in (plays.filter(F.year("start_time") < 1996), plays):
+        load_fact(batch, path, FACT_SONGPLAYS, ("start_time", "user_id"), "sequence")
+    ids = read_target(spark, path, FACT_SONGPLAYS)
+    return ids.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("id").alias("n_ids"),
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+    )
+
+
+@query
+def fact_hash_ids(spark, sf_dir):
+    """Ids of a fact that was given every play twice in one batch: none is repeated."""
+    path = work_dir(spark, "fact")
+    plays = songplays_fact(spark, sf_dir)
+    load_fact(plays.unionByName(plays), path, FACT_SONGPLAYS, ("start_time", "user_id"))
+    ids = read_target(spark, path, FACT_SONGPLAYS)
+    return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
+
+
+@query
+def append_insert(spark, sf_dir):
+    """Artists of the feed appended in two parts, cast to the whole-number layout."""
+    path = work_dir(spark, "appended")
+    rows = recipes.artists(song_feed(spark, sf_dir), DIM_ARTISTS_WHOLE)
+    for part in (F.col("id") < "Brand#3", F.col("id") >= "Brand#3"):
+        append(rows.filter(part), path, DIM_ARTISTS_WHOLE)
+    whole = {c: F.col(c).cast("bigint") for c in ("latitude", "longitude")}
+    return read_target(spark, path, DIM_ARTISTS_WHOLE).withColumns(whole)
+
+
 @query
 def dimension_refresh(spark, sf_dir):
     """A dimension filled, then refreshed by appending: the second load adds only new keys."""
@@ -503,8 +548,8 @@ def upsert_users(spark, sf_dir):
     base = work_dir(spark, "upsert")
     name = f"users_{base[-8:]}"
     ensure_table(spark, USERS_DATED, base, name)
-    dated = recipes.plays(visits(spark, sf_dir)).filter((F.col("userId") != "") & F.col("ts").isNotNull())
-    rows = dated.select(*USERS_DATED.columns)
+    dated = recipes.plays(visits(spark, sf_dir)).filter(F.col("ts").isNotNull())
+    rows = recipes.numbered_users(dated).select(*USERS_DATED.columns)
     for half in (rows.filter(F.col("ts") < SPLIT_MS), rows.filter(F.col("ts") >= SPLIT_MS)):
         latest = latest_per_key(half, USERS_DATED.pk, "ts", combine=True)
         upsert_dimension(latest, USERS_DATED, base, "ts", name)
@@ -514,8 +559,9 @@ def upsert_users(spark, sf_dir):
 
 
 def _log_as_json(spark, sf_dir):
+    """Four files; the plays of a user, and so all copies of a key, are in one."""
     path = work_dir(spark, "log-json")
-    log(spark, sf_dir).write.json(path)
+    log(spark, sf_dir).repartition(4, "userId").write.json(path)
     return path
 
 
@@ -593,12 +639,41 @@ def warehouse_load(spark, sf_dir):
     schema = f"wh_{base[-8:]}"
     spark.sql(f"CREATE DATABASE {schema} LOCATION '{base}/db'")
     report = run_warehouse(spark, f"{root}/log-data", f"{root}/song_data", base, schema=schema)
-    for spec in WAREHOUSE:
+    for spec in (*WAREHOUSE, *STAGING):
         drop_table(spark, f"{schema}.{spec.name}")
     spark.sql(f"DROP DATABASE {schema}")
     return report.select("step", "inserted")
 
 
+@query
+def warehouse_days(spark, sf_dir):
+    """Three days loaded in turn, the second one twice: plays and known seconds of each user."""
+    raw, base = work_dir(spark, "raw"), work_dir(spark, "warehouse")
+    songs(spark, sf_dir).write.json(f"{raw}/songs")
+    # The years of the log stand for three days.
+    plays = log(spark, sf_dir)
+    ends = [ts_to_epoch_ms(F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz")) for y in (1997, 1999)]
+    number = F.when(F.col("ts") < ends[0], 1).when(F.col("ts") < ends[1], 2).otherwise(3)
+    for n in (1, 2, 3):
+        plays.filter(number == n).write.json(date_prefix(f"{raw}/log", date(2018, 11, n)))
+    schema = f"wh_{base[-8:]}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{base}/db'")
+    for n in (1, 2, 2, 3):
+        run_warehouse(spark, f"{raw}/log", f"{raw}/songs", base, date(2018, 11, n), schema)
+    kept = (FACT_SONGPLAYS, DIM_USERS, DIM_TIME)
+    folders = [(s, table_location(spark, f"{schema}.{s.name}")) for s in kept]
+    for spec in (*WAREHOUSE, *STAGING):
+        drop_table(spark, f"{schema}.{spec.name}")
+    spark.sql(f"DROP DATABASE {schema}")
+    fact, users, times = (read_target(spark, folder, spec) for spec, folder in folders)
+    per_user = (
+        fact.join(times.select("start_time", F.lit(1).alias("known")), "start_time", "left")
+        .groupBy(F.col("user_id").alias("id"))
+        .agg(F.count(F.lit(1)).alias("n_plays"), F.count("known").alias("n_known"))
+    )
+    return users.join(per_user, "id", "full")
+
+
 @query
 def lake_load(spark, sf_dir):
     """The whole lake load from JSON, run twice: rows per step of both runs."""
@@ -620,33 +695,40 @@ def stream_stage_equals_batch(spark, sf_dir):
 
 @query
 def stream_fact_equals_batch(spark, sf_dir):
-    """The fact built by a stream over the JSON log, without the id."""
-    dest, checkpoint = work_dir(spark, "stream-fact"), work_dir(spark, "stream-state")
-    stream = read_json_stream(spark, _log_as_json(spark, sf_dir), STAGING_EVENTS)
-    stream_fact(stream, songs(spark, sf_dir), dest, checkpoint, STREAM_KEY).awaitTermination()
+    """The fact built by a stream over the JSON log in several micro-batches, without the id."""
+    dest = work_dir(spark, "stream-fact")
+    _stream_fact_once(spark, sf_dir, _log_as_json(spark, sf_dir), dest)
+    return read_target(spark, dest, FACT_SONGPLAYS).drop("id")
+
+
+def _stream_fact_once(spark, sf_dir, raw, dest):
+    stream = read_json_stream(spark, raw, STAGING_EVENTS, files_per_trigger=1)
+    state = work_dir(spark, "stream-state")
+    stream_fact(stream, songs(spark, sf_dir), dest, state, STREAM_KEY, nulls="equal").awaitTermination()
+
+
+@query
+def stream_fact_again(spark, sf_dir):
+    """The same after the stream has lost its checkpoint and read every file again."""
+    raw, dest = _log_as_json(spark, sf_dir), work_dir(spark, "stream-fact")
+    for _ in range(2):
+        _stream_fact_once(spark, sf_dir, raw, dest)
     return read_target(spark, dest, FACT_SONGPLAYS).drop("id")
 
 
 @query
 def stream_seconds(spark, sf_dir):
-    """Distinct (second, user) of the plays, deduplicated in stream state."""
+    """Distinct (second, user) of the plays, from files whose times and users are all mixed up."""
     raw, dest = work_dir(spark, "visits-json"), work_dir(spark, "stream-seconds")
-    visits(spark, sf_dir).select(*VISIT_SPEC.columns).write.json(raw)
+    twice = visits(spark, sf_dir).unionByName(visits(spark, sf_dir))
+    twice.select(*VISIT_SPEC.columns).repartition(4).write.json(raw)
     seconds = (
-        recipes.plays(read_json_stream(spark, raw, VISIT_SPEC))
+        recipes.plays(read_json_stream(spark, raw, VISIT_SPEC, files_per_trigger=1))
         .filter(F.col("ts").isNotNull())
         .select(epoch_ms_to_ts("ts").alias("start_time"), "userId")
     )
-    unique = stream_dedup(seconds, ["start_time", "userId"], "start_time", "60 days")
-    (
-        unique.writeStream.format("parquet")
-        .option("path", dest)
-        .option("checkpointLocation", work_dir(spark, "stream-state"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.schema(unique.schema).parquet(dest)
+    stream_dedup(seconds, dest, SECONDS, work_dir(spark, "stream-state")).awaitTermination()
+    return spark.read.schema(SECONDS.schema).parquet(dest)
 
 
 @query
@@ -656,8 +738,8 @@ def stream_users(spark, sf_dir):
     visits(spark, sf_dir).select(*VISIT_SPEC.columns).write.json(raw)
     name = f"users_{base[-8:]}"
     ensure_table(spark, USERS_DATED, base, name)
-    known = recipes.plays(read_json_stream(spark, raw, VISIT_SPEC)).filter(
-        (F.col("userId") != "") & F.col("ts").isNotNull()
+    known = recipes.numbered_users(
+        recipes.plays(read_json_stream(spark, raw, VISIT_SPEC)).filter(F.col("ts").isNotNull())
     )
     stream_upsert_latest(
         known.select(*USERS_DATED.columns), USERS_DATED, base, work_dir(spark, "stream-state"), "ts", name

@@ -63,6 +63,11 @@ def _matched(log: DataFrame, songs: DataFrame, **options) -> DataFrame:
     )
 
 
+def numbered_users(log: DataFrame) -> DataFrame:
+    """Log rows whose user is a number, with it as one."""
+    return require_present(log.withColumn("userId", F.col("userId").try_cast("int")), ["userId"])
+
+
 def _latest_users(log: DataFrame) -> DataFrame:
     # Names and level seldom change: combining first leaves a few rows per user to rank.
     return latest_per_key(log, ["userId"], "ts", take=USER_FIELDS, combine=True)
@@ -82,17 +87,19 @@ def songplays(log: DataFrame, songs: DataFrame, **options) -> DataFrame:
     ``options`` go to ``enrich``.
     """
     known = require_finite(require_present(plays(log), ["userId"]), ["ts"])
-    numbered = known.withColumn("userId", F.col("userId").try_cast("int"))
-    matched = _matched(require_present(numbered, ["userId"]), songs, **options)
+    matched = _matched(numbered_users(known), songs, **options)
     names = {v: k for k, v in PLAY_NAMES.items()}
     columns = ("start_time", "userId", "level", *SONG_IDS, "sessionId", "location", "userAgent")
     return matched.select(*[F.col(c).alias(names.get(c, c)) for c in columns])
 
 
 def users(log: DataFrame, spec: TableSpec = DIM_USERS) -> DataFrame:
-    """One row per user: name and level at the last play."""
+    """One row per user: name and level at the last play.
+
+    The user's text becomes a number before the latest row is taken: "8" and "08" are one user.
+    """
     known = require_finite(require_present(plays(log), ["userId"]), ["ts"])
-    return require_present(conform(_latest_users(known), spec, USER_NAMES), ["id"])
+    return conform(_latest_users(numbered_users(known)), spec, USER_NAMES)
 
 
 def users_by_time(log: DataFrame) -> DataFrame:
@@ -112,7 +119,8 @@ def songs_all(songs: DataFrame, spec: TableSpec = DIM_SONGS) -> DataFrame:
 
 def songs(songs_log: DataFrame, spec: TableSpec = DIM_SONGS) -> DataFrame:
     """One row per song id."""
-    return dedup_by_key(conform(require_present(songs_log, SONG_IDS), spec, SONG_NAMES), spec.pk)
+    rows = conform(require_present(songs_log, SONG_IDS), spec, SONG_NAMES)
+    return dedup_by_key(rows, spec.pk, combine=True)
 
 
 def artists_all(songs: DataFrame, spec: TableSpec = DIM_ARTISTS) -> DataFrame:
@@ -124,7 +132,8 @@ def artists_all(songs: DataFrame, spec: TableSpec = DIM_ARTISTS) -> DataFrame:
 
 def artists(songs: DataFrame, spec: TableSpec = DIM_ARTISTS) -> DataFrame:
     """One row per artist id."""
-    return dedup_by_key(conform(require_present(songs, ["artist_id"]), spec, ARTIST_NAMES), spec.pk)
+    rows = conform(require_present(songs, ["artist_id"]), spec, ARTIST_NAMES)
+    return dedup_by_key(rows, spec.pk, combine=True)
 
 
 def times(log: DataFrame, spec: TableSpec = DIM_TIME, weekday: str = "sun0") -> DataFrame:
@@ -137,13 +146,12 @@ def times(log: DataFrame, spec: TableSpec = DIM_TIME, weekday: str = "sun0") ->
 
 def lake_songs(songs_log: DataFrame) -> DataFrame:
     kept = require_present(songs_log.select(*LAKE_SONGS.columns), SONG_IDS)
-    return impute_missing(dedup_by_key(kept, LAKE_SONGS.pk), ["year"], MISSING_TEXT)
+    return impute_missing(dedup_by_key(kept, LAKE_SONGS.pk, combine=True), ["year"], MISSING_TEXT)
 
 
 def lake_artists(songs_log: DataFrame) -> DataFrame:
-    return dedup_by_key(
-        require_present(songs_log.select(*LAKE_ARTISTS.columns), ["artist_id"]), LAKE_ARTISTS.pk
-    )
+    rows = require_present(songs_log.select(*LAKE_ARTISTS.columns), ["artist_id"])
+    return dedup_by_key(rows, LAKE_ARTISTS.pk, combine=True)
 
 
 def lake_times(log: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from oracle import connect, difference
+from starmart.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     assert difference(queries()[name](spark, SF_DIR), duck, oracle_sql()[name]) is None
 

@@ -3,10 +3,12 @@ from datetime import date, datetime
 
 import pytest
 
-from starmart.operators import QualityError, check_unique
+from pyspark.sql import functions as F
+
+from starmart.operators import QualityError, check_keys, check_unique
 from starmart.plans import recipes
 from starmart.plans.runs import run_lake, run_steps, run_warehouse
-from starmart.schemas import LAKE_SONGS_BY_ARTIST, LAKE_SONGPLAYS, STAGING_EVENTS, STAGING_SONGS
+from starmart.schemas import LAKE_SONGS_BY_ARTIST, LAKE_SONGPLAYS, STAGING_EVENTS, STAGING_SONGS, table
 from starmart.sinks import LoadResult
 from conftest import rows
 
@@ -67,7 +69,14 @@ def test_warehouse_day_by_day(spark, raw, folder, database):
     assert rows(spark.table(f"{database}.dim_users")) == [(8, "F8", "L", "F", "paid")]
     assert first["dim_time"] == 4  # any dated play, identified or not
     assert load(date(2018, 11, 4))["fact_songplays"] == 0
-    assert load(date(2018, 11, 5))["fact_songplays"] == 2
+    second = load(date(2018, 11, 5))
+    assert second["fact_songplays"] == 2 and second["dim_users"] == 1 and second["dim_time"] == 2
+    named = {n: spark.table(f"{database}.{n}") for n in ("fact_songplays", "dim_users", "dim_time", "staging_events", "staging_songs")}
+    assert rows(named["dim_users"].select("id", "level")) == [(8, "free"), (9, "free")]
+    assert named["dim_time"].count() == 6 and named["staging_events"].count() == 2
+    for key, dim in (("user_id", "dim_users"), ("start_time", "dim_time")):
+        keys = named[dim].select(named[dim].columns[0]).toDF(key)
+        assert named["fact_songplays"].join(keys, key, "left_anti").count() == 0
     fact = spark.read.parquet(f"{folder}/fact_songplays")
     assert fact.count() == 5 and check_unique(fact, "id").count() == 0
     assert rows(fact.select("start_time", "user_id", "song_id").filter("song_id is null")) == [
@@ -75,6 +84,36 @@ def test_warehouse_day_by_day(spark, raw, folder, database):
     ]
 
 
+def test_warehouse_can_append_to_all_dimensions(spark, raw, folder, database):
+    for _ in range(2):
+        report = run_warehouse(
+            spark, f"{raw}/log_data", f"{raw}/song_data", folder, schema=database, append=True
+        )
+    assert {r.step: r.inserted for r in report.collect() if r.step.startswith("dim")} == {
+        "dim_artists": 0, "dim_songs": 0, "dim_time": 0, "dim_users": 0,
+    }
+
+
+def test_users_are_numbers_before_they_are_ranked(spark):
+    log, _ = frames(spark)
+    for i, text in enumerate(("8", "08", " 8")):
+        extra = log.filter("userId = '8'").withColumn("userId", F.lit(text)).withColumn("ts", F.lit(MORNING + i))
+        log = log.unionByName(extra.withColumn("level", F.lit(f"l{i}")))
+    got = recipes.users(log)
+    assert check_unique(got, "id").count() == 0
+    assert rows(got.filter("id = 8").select("level")) == [("free",)]
+
+
+def test_key_checks(spark):
+    ok = spark.createDataFrame([("a", 1)], "id string, n int")
+    spec = table("t", "id string, n int", pk="id", not_null="n")
+    check_keys(ok, spec)
+    with pytest.raises(QualityError, match="repeated"):
+        check_keys(ok.unionByName(ok), spec)
+    with pytest.raises(QualityError, match="nulls"):
+        check_keys(spark.createDataFrame([("a", None)], "id string, n int"), spec)
+
+
 def test_warehouse_fails_its_check_when_a_table_is_empty(spark, raw, folder, database, tmp_path):
     empty = tmp_path / "none"
     empty.mkdir()
