@@ -82,6 +82,8 @@ def duplicates(docs: DataFrame, pattern: str = CHUNK) -> DataFrame:
         .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
     )
+    # Written, so that the join has nothing but shuffles below it and a hot recipe is split.
+    groups = stored(groups, "equal-recipes")
     alone = F.col("n").isNull()
     return rows.join(groups, "recipe", "left").select(
         "doc_id",
