@@ -13,11 +13,11 @@ MAX_ROUNDS = 64
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root`` for every node of ``edges(a, b)``; nodes of one component share a root.
 
-    Each round points every node at its smallest neighbour (if smaller), follows the pointers twice,
-    and replaces the edges by those between what is pointed at. A node with a smaller neighbour
-    disappears, so at least half of the nodes do, and the edges are written anew each round: the
-    number of rounds grows with the logarithm of the nodes, and a lost executor costs one round.
-    Minima are combined before the shuffle and joins on a hub are split by Spark.
+    Each round points every node at its smallest neighbour (if smaller), follows the pointers to their
+    ends, doubling the reach at each step, and replaces the edges by those between the ends. Only nodes
+    without a smaller neighbour are left, at most half of them, and the edges are written anew: rounds
+    grow with the logarithm of the nodes, steps with that of the longest chain, and a lost executor
+    costs one step. Minima are combined before the shuffle and joins on a hub are split by Spark.
     """
     current = stored(edges.filter("a <> b").select("a", "b").distinct(), "edges")
     roots: DataFrame | None = None
@@ -27,12 +27,15 @@ def components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         nearest = both.groupBy("a").agg(F.min("b").alias("b"))
         parents = stored(nearest.select(F.col("a").alias("node"), F.least("a", "b").alias("up")), "parents")
-        for _ in range(2):
+        while True:
             above = parents.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            parents = parents.join(above, "up").select("node", F.col("top").alias("up"))
-        parents = stored(parents, "parents")
+            further = parents.join(above, "up").select("node", F.col("top").alias("up"), (F.col("top") < F.col("up")).alias("moved"))
+            parents = stored(further, "parents")
+            if parents.filter("moved").isEmpty():
+                break
+            parents = parents.select("node", "up")
         if roots is None:
-            roots = parents.withColumnRenamed("up", "root")
+            roots = parents.select("node", F.col("up").alias("root"))
         else:
             moved = parents.select(F.col("node").alias("root"), "up")
             roots = roots.join(moved, "root", "left").select("node", F.coalesce("up", "root").alias("root"))

@@ -7,7 +7,8 @@ import re
 from collections import defaultdict
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
+from llm_fixtures import docs, none, odd  # noqa: F401
 
 from starmart.llm import chunk_dedup, licenses, line_dedup, mixing, urls
 from starmart.llm.license_rules import CONFIDENCE, Signature, signatures
@@ -279,7 +280,6 @@ def test_no_rules(spark):
 
 
 def test_native_plans_hold_no_python(docs, spark):
-    from conftest import plan
 
     df = docs([(1, "a\nb"), (2, "a")])
     for out in (
