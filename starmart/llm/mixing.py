@@ -1,7 +1,9 @@
 """Mixing sources to target weights.
 
 Words are summed per source, targets and repetition rates derived, and each document is emitted
-``floor(rate)`` times plus one copy with the probability of the fraction, decided by a hash.
+``floor(rate)`` times plus one copy with the probability of the fraction, decided by a hash. The hash
+is shifted by one of some steps per source, the one with which the source comes nearest to its target:
+documents differ much in length, and a source of few would scatter otherwise.
 """
 
 from __future__ import annotations
@@ -15,6 +17,12 @@ from starmart.operators import add_id
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 SEED = 17
+SHIFTS = 64
+
+
+def repeats() -> Column:
+    """Times that a source is repeated, in fractions too; 0 if it has no words."""
+    return F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
 
 
 def chance(doc_id: Column, text: Column, seed: int = SEED) -> Column:
@@ -24,6 +32,29 @@ def chance(doc_id: Column, text: Column, seed: int = SEED) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(2**52))
 
 
+def shifted(number: Column, shift: Column) -> Column:
+    """``number`` in [0, 1) moved on by ``shift`` of ``SHIFTS`` equal steps, around the end."""
+    moved = number + shift / F.lit(float(SHIFTS))
+    return F.when(moved >= 1, moved - 1).otherwise(moved)
+
+
+def best_shifts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
+    """``targets`` with the ``shift`` of each source that takes nearest to its target.
+
+    One aggregation over ``sizes(source, size, chance)`` with a sum per step, combined in each task.
+    """
+    known = targets.withColumnRenamed("source", "__source")
+    rated = sizes.join(small(known), sizes["source"].eqNullSafe(F.col("__source"))).withColumn("rate", repeats())
+    whole, rest = F.floor("rate"), F.col("rate") - F.floor("rate")
+    taken = [
+        F.sum(F.col("size") * (whole + (shifted(F.col("chance"), F.lit(k)) < rest).cast("int"))).alias(f"t{k}")
+        for k in range(SHIFTS)
+    ]
+    sums = rated.groupBy("source", "source_size", "target").agg(*taken)
+    off = [F.struct(F.abs(F.col(f"t{k}") - F.col("target")).alias("off"), F.lit(k).alias("k")) for k in range(SHIFTS)]
+    return sums.select("source", "source_size", "target", F.array_min(F.array(*off))["k"].alias("shift"))
+
+
 def source_targets(
     sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS
 ) -> DataFrame:
@@ -78,19 +109,19 @@ def mixing_plan(
     """
     added = {"size", "source_size", "target", "copies"}
     docs = docs.select(*[c for c in docs.columns if c not in added])
-    sizes = docs.select("source", word_count(F.col("text")).alias("size"))
-    targets = small(
-        source_targets(sizes, weights, max_repeats).withColumnRenamed("source", "__source")
-    )
+    number = chance(F.col("doc_id"), F.col("text"), seed)
+    sizes = docs.select("source", word_count(F.col("text")).alias("size"), number.alias("chance"))
+    sizes = stored(sizes, "sizes")
+    shifts = best_shifts(sizes, source_targets(sizes, weights, max_repeats))
+    named = shifts.withColumnsRenamed({"source": "__source", "shift": "__shift"})
     sized = docs.withColumn("size", word_count(F.col("text"))).join(
-        targets, docs["source"].eqNullSafe(F.col("__source"))
+        small(stored(named, "shifts")), docs["source"].eqNullSafe(F.col("__source"))
     )
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    extra = (chance(F.col("doc_id"), F.col("text"), seed) < F.col("__rate") - F.floor("__rate")).cast("int")
+    extra = shifted(number, F.col("__shift")) < F.col("__rate") - F.floor("__rate")
     return (
-        sized.withColumn("__rate", rate)
-        .withColumn("copies", (F.floor("__rate") + extra).cast("int"))
-        .drop("__source", "__rate")
+        sized.withColumn("__rate", repeats())
+        .withColumn("copies", (F.floor("__rate") + extra.cast("int")).cast("int"))
+        .drop("__source", "__rate", "__shift")
     )
 
 

@@ -57,11 +57,21 @@ WITH sized AS (
 ), rated AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-    ('0x' || substr(md5('17:' || d.doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS chance
+    ('0x' || substr(md5('17:' || d.doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS chance,
+    d.source
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), tried AS (
+  SELECT r.*, s.shift,
+    (size * (floor(rate) + CASE WHEN
+      (chance + s.shift / 64.0::DOUBLE) - floor(chance + s.shift / 64.0::DOUBLE) < rate - floor(rate)
+      THEN 1 ELSE 0 END))::BIGINT AS taken
+  FROM rated r CROSS JOIN (SELECT unnest(range(64)) AS shift) s
+), best AS (
+  SELECT source, arg_min(shift, (off, shift)) AS shift FROM (
+    SELECT source, shift, abs(sum(taken)::BIGINT - any_value(target)) AS off FROM tried GROUP BY source, shift)
+  GROUP BY source
 )
-SELECT doc_id, size, source_size, target,
-  (size * (floor(rate) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM rated
+SELECT t.doc_id, t.size, t.source_size, t.target, t.taken
+FROM tried t JOIN best b ON t.source IS NOT DISTINCT FROM b.source AND t.shift = b.shift
 """,
 }
