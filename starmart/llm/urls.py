@@ -71,6 +71,12 @@ https://free-followers.example.biz/buy
 http://crack-keygen.example.info/download
 https://torrent-cracks.example.biz/free
 http://win-free-phone.example.com/prize
+http://ads-track.example.com/en/71
+https://ad-server.example.info/click
+http://ads-tracker.example.biz/pixel
+https://track-ads.example.org/banner
+http://spam-farm.example.com/de/4
+https://link-farm.example.biz/page
 """.split()
 ALLOWED_URLS = """
 http://www.thernd.example.org/en/221/
