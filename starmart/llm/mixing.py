@@ -18,6 +18,7 @@ WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 SEED = 17
 SHIFTS = 64
+ADDED = ("size", "source_size", "target", "copies")
 
 
 def repeats() -> Column:
@@ -107,8 +108,7 @@ def mixing_plan(
     none of its rows is taken. Rows with one ``doc_id`` share their chance, so repeated rows are taken
     alike, and reruns agree. Columns of these names in ``docs`` are replaced.
     """
-    added = {"size", "source_size", "target", "copies"}
-    docs = docs.select(*[c for c in docs.columns if c not in added])
+    docs = docs.select(*[c for c in docs.columns if c not in ADDED])
     number = chance(F.col("doc_id"), F.col("text"), seed)
     sizes = docs.select("source", word_count(F.col("text")).alias("size"), number.alias("chance"))
     sizes = stored(sizes, "sizes")
@@ -126,8 +126,8 @@ def mixing_plan(
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with each row repeated as often as the mix takes it."""
-    columns = docs.columns
-    planned = mixing_plan(docs, **options).filter("copies > 0")
+    """``docs`` with each row repeated as often as the mix takes it; its columns stay as they are."""
+    aside = {c: f"__own_{c}" for c in docs.columns if c in ADDED}
+    planned = mixing_plan(docs.withColumnsRenamed(aside), **options).filter("copies > 0")
     repeated = planned.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select(*columns)
+    return repeated.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])

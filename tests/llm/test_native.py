@@ -142,6 +142,9 @@ def test_mix_odd(odd, none):
     assert got.count() == 10 and rows(got) == rows(mixing.mixing_plan(odd))
     assert got.filter("source IS NULL").select("source_size").distinct().collect()[0][0] == 6
     assert mixing.mixing_plan(none).count() == 0 and mixing.mix(none).count() == 0
+    emitted = mixing.mix(odd)
+    assert emitted.columns == odd.columns
+    assert {(r["size"], r["target"], r["copies"]) for r in emitted.collect()} == {("x", "x", "x")}
 
 
 # Licences
