@@ -171,6 +171,7 @@ ORACLES: dict[str, str] = {
     "songplays_keep_null_ts": _lake_songplays(""),
     "songplays_lake": _lake_songplays("AND ts IS NOT NULL"),
     "songplays_rounded": _songplays(MATCH_WHOLE),
+    "songplays_whole": _songplays(MATCH_WHOLE),
     "songplays_first_match": _songplays(
         MATCH_WHOLE,
         """(SELECT * FROM (SELECT *, row_number() OVER (

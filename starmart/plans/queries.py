@@ -52,7 +52,9 @@ from starmart.schemas import (
     PLAY_PAGE,
     STAGING,
     STAGING_EVENTS,
+    STAGING_EVENTS_WHOLE,
     STAGING_SONGS,
+    STAGING_SONGS_WHOLE,
     WAREHOUSE,
 )
 from starmart.schemas import table as table_spec
@@ -150,6 +152,13 @@ def songplays_rounded(spark, sf_dir):
     return recipes.songplays(log(spark, sf_dir), songs(spark, sf_dir), round_to={"length": 0})
 
 
+@query
+def songplays_whole(spark, sf_dir):
+    """Both staging tables in the whole-number layout: lengths meet as whole numbers."""
+    events = conform(log(spark, sf_dir), STAGING_EVENTS_WHOLE)
+    return recipes.songplays(events, conform(songs(spark, sf_dir), STAGING_SONGS_WHOLE))
+
+
 @query
 def songplays_first_match(spark, sf_dir):
     """Rounded lengths match several catalogue songs; each play keeps the first of them."""
