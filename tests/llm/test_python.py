@@ -325,3 +325,16 @@ def test_batches_without_rows():
         [pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.string())], ["doc_id", "text", "lang"]
     )
     assert list(fertility.measure_batches([empty], pieces.model_bytes()))[0].num_rows == 0
+
+
+def test_two_wide_segments_find_the_same(spark):
+    draw = random.Random(9)
+    center = draw.getrandbits(64)
+    fps = {center ^ sum(1 << b for b in draw.sample(range(64), draw.randint(0, 4))) for _ in range(60)}
+    df = spark.createDataFrame([(signed(x),) for x in fps], "fp bigint")
+    wide = (simhash.Segment(0, 32, 2), simhash.Segment(32, 32, 1))
+    pairs = {(min(a, b), max(a, b)) for a, b in combinations(fps, 2) if (a ^ b).bit_count() <= 4}
+    for segments in (wide, simhash.SEGMENTS):
+        found = simhash.links(df, segments=segments, crowded=10**6).collect()
+        got = {tuple(sorted((r["a"] & (1 << 64) - 1, r["b"] & (1 << 64) - 1))) for r in found}
+        assert got == pairs
