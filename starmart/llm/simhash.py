@@ -156,19 +156,24 @@ def links(
     return quiet.unionByName(meeting_links(dense, max_bits))
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    words: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    segments: tuple[Segment, ...] = SEGMENTS,
+) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``text_key``, ``fingerprint`` (16 hex digits),
     ``component_id`` and ``kept``.
 
     Words are split at white space with A-Z in lower case; a text with fewer words than a shingle is
     one shingle, one without words has fingerprint zero and is linked like any other. Fingerprints
-    that differ in at most ``max_bits`` bits are linked; ``component_id`` is the smallest ``doc_id``
+    that differ in at most ``max_bits`` bits are linked (more than 4 need wider ``segments``); ``component_id`` is the smallest ``doc_id``
     reachable (null ids are passed over, and it is null if all are). The row with that id stays.
     Rows with the same id and the same text are kept alike. Other columns are ignored.
     """
     rows = stored(fingerprints(docs, words), "fingerprints")
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    found = components(links(nodes.select("fp"), max_bits))
+    found = components(links(nodes.select("fp"), max_bits, segments))
     rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )

@@ -1,0 +1,86 @@
+"""Near copies against all pairs in plain Python."""
+
+from __future__ import annotations
+
+import random
+from itertools import combinations
+
+import pytest
+from llm_fixtures import docs, none, odd  # noqa: F401
+from test_python import brute_components
+
+import corpus_pipeline
+from starmart.llm import near_copies, simhash
+
+
+def brute_set(text):
+    words = (text or "").lower().split(" ")
+    width = min(5, len(words))
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+
+
+def brute_kept(rows):
+    sets = {i: brute_set(t) for i, t in rows}
+    close = [
+        (a, b) for a, b in combinations(sorted(sets), 2)
+        if 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))
+    ]
+    return sorted(set(brute_components(sorted(sets), close).values())), close
+
+
+def changed(draw, words, times):
+    out = list(words)
+    for at in draw.sample(range(len(words)), times):
+        out[at] = f"x{draw.randrange(10**6)}"
+    return " ".join(out)
+
+
+def made(draw, bases, copies):
+    rows = []
+    for base in range(bases):
+        words = [f"w{draw.randrange(500)}" for _ in range(draw.choice((5, 40, 150, 300)))]
+        rows.append(" ".join(words))
+        rows += [changed(draw, words, draw.randrange(1, max(2, len(words) // 30))) for _ in range(copies)]
+    return list(enumerate(rows))
+
+
+def test_stage_finds_every_pair(spark, docs):
+    """Similarities from 0.8 to 0.97, most of which differ in more than four bits."""
+    rows = made(random.Random(3), 25, 3)
+    want, close = brute_kept(rows)
+    far = [1 for a, b in close if (simhash.fingerprint(rows[a][1]) ^ simhash.fingerprint(rows[b][1])).bit_count() > 4]
+    assert len(far) > 10
+    got = corpus_pipeline.drop_near_copies(spark, docs(rows), "")
+    assert sorted(r["doc_id"] for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("crowded", [1, 8])
+def test_crowded_places_and_frequent_shingles(docs, crowded):
+    draw = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, f"{t} {passage}") for i, t in made(draw, 4, 12)]
+    sets = near_copies.shingle_sets(docs(rows))
+    want, close = brute_kept(rows)
+    ids = {r["row"]: r["doc_id"] for r in sets.collect()}
+    found = near_copies.links(sets, crowded, part=1, often=8).collect()
+    edges = [tuple(sorted((ids[r["a"]], ids[r["b"]]))) for r in found]
+    assert set(edges) <= set(close)
+    assert sorted(set(brute_components(sorted(i for i, _ in rows), edges).values())) == want
+
+
+def test_no_ids_and_odd_texts(odd, docs, none):
+    long = " ".join(f"w{i}" for i in range(100))
+    left = near_copies.drop_near_copies(docs([(None, long + " a"), (None, long + " b"), (None, long + " c")]))
+    assert left.count() == 1
+    left = near_copies.drop_near_copies(docs([(7, long + " a"), (7, long + " b"), (9, long + " c")]))
+    assert [r["doc_id"] for r in left.collect()] == [7]
+    got = near_copies.drop_near_copies(odd)
+    assert got.filter("doc_id = 5").count() == 1 and got.columns == odd.columns
+    assert near_copies.drop_near_copies(none).count() == 0
+
+
+def test_simhash_takes_segments(docs):
+    four = tuple(simhash.Segment(16 * n, 16, 1) for n in range(4))
+    text = " ".join(f"w{i}" for i in range(60))
+    got = simhash.near_duplicates(docs([(1, text), (2, text + " z")]), max_bits=6, segments=four)
+    assert got.count() == 2
