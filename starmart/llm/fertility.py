@@ -2,8 +2,8 @@
 
 Base rules count words, symbols, repeated lines and repeated word windows. A public vocabulary then
 measures characters per token, the share of byte-fallback tokens and token entropy; a text outside
-the band of its language (of its script where the language is missing) is rejected. Bands are
-quantiles over all documents of the language.
+the band of its language (of its script where the language is missing or rare) is rejected; without either
+band the method rejects nothing. Bands are quantiles over all documents of the language or script.
 """
 
 from __future__ import annotations
@@ -24,9 +24,8 @@ MIN_WORDS = 50
 MAX_REPEATED_SHARE = 50
 # Tokens per block whose entropy is taken: a measure that does not grow with the text's length.
 BLOCK = 256
-# A language gets bands of its own from this share of all documents on (so there are at most a
-# thousand) and from this many documents that pass the base rules.
-MIN_SHARE = 0.001
+# A language or script gets a band from this many documents that pass the base rules, whatever else
+# the table holds.
 MIN_ROWS = 50
 # Measures of short texts scatter more: a band is wider by this many tokens over the text's number.
 SHORT = 100
@@ -42,6 +41,21 @@ SCRIPTS = {
     "Kana": "぀-ヿ",
     "Han": "一-鿿",
     "Hangul": "가-힯",
+    "Armenian": "\u0531-\u058a",
+    "Bengali": "\u0980-\u09ff",
+    "Gurmukhi": "\u0a00-\u0a7f",
+    "Gujarati": "\u0a80-\u0aff",
+    "Tamil": "\u0b80-\u0bff",
+    "Telugu": "\u0c00-\u0c7f",
+    "Kannada": "\u0c80-\u0cff",
+    "Malayalam": "\u0d00-\u0d7f",
+    "Sinhala": "\u0d80-\u0dff",
+    "Lao": "\u0e80-\u0eff",
+    "Tibetan": "\u0f00-\u0fff",
+    "Myanmar": "\u1000-\u109f",
+    "Georgian": "\u10a0-\u10ff",
+    "Ethiopic": "\u1200-\u139f",
+    "Khmer": "\u1780-\u17ff",
 }
 _SCRIPT = re.compile("|".join(f"(?P<{name}>[{chars}]+)" for name, chars in SCRIPTS.items()))
 
@@ -119,25 +133,24 @@ def script(text: str) -> str:
 
 def measure_batches(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
     enc = encoder(model)
-    names = ["doc_id", "band", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    names = ["doc_id", "lang", "script", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     names += ["n_tokens", "chars_per_token", "byte_share", "entropy"]
     for batch in batches:
         rows = []
         for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             ids = enc.ids(text)
             n = len(ids)
-            band = lang if lang else script(text)
             share = float(enc.is_byte[ids].sum()) / n if n else 0.0
-            rows.append((band, *base_counts(text), n, len(text) / n if n else 0.0, share, block_entropy(ids)))
-        kinds = [pa.string(), *[pa.int64()] * 6, *[pa.float64()] * 3]
+            rows.append((lang or None, script(text), *base_counts(text), n, len(text) / n if n else 0.0, share, block_entropy(ids)))
+        kinds = [*[pa.string()] * 2, *[pa.int64()] * 6, *[pa.float64()] * 3]
         columns = list(zip(*rows)) if rows else [[]] * len(kinds)
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
         yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)
 
 
 def measures(docs: DataFrame, model: bytes | None = None) -> DataFrame:
-    """Base counts and token measures of each row, and the ``band`` it is held against: its ``lang``,
-    or its script where that is null or empty. Null texts count as empty."""
+    """Base counts and token measures of each row, its ``lang`` (null if empty) and its ``script``.
+    Null texts count as empty."""
     model = model or model_bytes()
     root = package_root()
 
@@ -154,7 +167,7 @@ def measures(docs: DataFrame, model: bytes | None = None) -> DataFrame:
     counts = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
     tokens = "n_tokens bigint, chars_per_token double, byte_share double, entropy double"
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
-    return texts.mapInArrow(run, f"doc_id {key}, band string, {counts}, {tokens}")
+    return texts.mapInArrow(run, f"doc_id {key}, lang string, script string, {counts}, {tokens}")
 
 
 def base_failed() -> Column:
@@ -162,24 +175,19 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | repeated
 
 
-def fit_bands(measured: DataFrame, bands: tuple[Band, ...] = BANDS) -> DataFrame:
-    """Limits per language: ``band`` and ``<measure>_low``, ``_high``, ``_slack`` (how far they are from
-    the quartiles); ``band`` null is the one for all other languages.
+def fit_bands(measured: DataFrame, by: str, bands: tuple[Band, ...] = BANDS) -> DataFrame:
+    """Limits per value of ``by``, ``lang`` or ``script``: ``<measure>_low``, ``_high`` and ``_slack`` (how
+    far they are from the quartiles), for all with ``MIN_ROWS`` documents that pass the base rules.
 
-    Quartiles are exact, of values rounded to hundredths, so that what a task keeps is bounded.
-    At most ``1 / MIN_SHARE`` languages plus one row.
+    Quartiles are exact, of values rounded to hundredths, so that what a task keeps is bounded. Letters
+    of no known script are of many languages and give no band.
     """
-    passed = measured.filter(~base_failed())
+    passed = measured.filter(~base_failed() & F.col(by).isNotNull() & (F.col(by) != ("none" if by == "script" else "")))
     quartiles = [
         F.percentile(F.round(b.measure, 2), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(b.measure)
         for b in bands
     ]
-    count = F.count(F.lit(1)).alias("n")
-    total = passed.agg(count, *quartiles).select(F.lit(None).cast("string").alias("band"), "n", *[b.measure for b in bands])
-    enough = max(MIN_ROWS, int(np.ceil(MIN_SHARE * passed.count())))
-    # Languages are counted first, so that no quartiles are kept for the many rare ones.
-    common = passed.groupBy("band").agg(count).filter(F.col("n") >= enough).select("band")
-    own = passed.join(F.broadcast(common), "band").groupBy("band").agg(count, *quartiles)
+    own = passed.groupBy(by).agg(F.count(F.lit(1)).alias("n"), *quartiles).filter(F.col("n") >= MIN_ROWS)
     limits = []
     for b in bands:
         q1, q2, q3 = (F.get(F.col(b.measure), F.lit(i)) for i in range(3))
@@ -187,23 +195,24 @@ def fit_bands(measured: DataFrame, bands: tuple[Band, ...] = BANDS) -> DataFrame
         limits.append((q1 - slack if b.low else F.lit(float("-inf"))).alias(f"{b.measure}_low"))
         limits.append((q3 + slack if b.high else F.lit(float("inf"))).alias(f"{b.measure}_high"))
         limits.append(slack.alias(f"{b.measure}_slack"))
-    return own.unionByName(total).select("band", *limits)
+    return own.select(by, *limits)
 
 
 def rate(docs: DataFrame, model: bytes | None = None, bands: tuple[Band, ...] = BANDS) -> DataFrame:
     """One row per row of ``docs`` with all measures, ``base_failed``, the method's ``rejected`` and
-    ``kept`` (neither). Where too few documents exist for any band, the method rejects nothing.
+    ``kept`` (neither). Where neither the language nor the script has
+    a band, the method rejects nothing.
     Repeated rows are rated alike; other columns are ignored."""
     measured = stored(measures(docs, model), "fertility")
-    limits = stored(fit_bands(measured, bands), "fertility-bands")
-    names = [c for c in limits.columns if c != "band"]
-    # Both are bounded by the number of common languages.
-    own = F.broadcast(limits.filter(F.col("band").isNotNull()))
-    rest = limits.filter(F.col("band").isNull()).first()
-    joined = measured.join(own, "band", "left")
+    joined, names = measured, []
+    for by in ("lang", "script"):
+        limits = stored(fit_bands(measured, by, bands), f"fertility-bands-{by}")
+        new = [f"{by}_{c}" for c in limits.columns if c != by]
+        joined = joined.join(limits.toDF(by, *new), by, "left")
+        names += new
 
     def limit(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(rest[name] if rest else None).cast("double"))
+        return F.coalesce(F.col(f"lang_{name}"), F.col(f"script_{name}"))
 
     inside = F.lit(True)
     for b in bands:
