@@ -168,25 +168,27 @@ def near_duplicates(
     Words are split at white space with A-Z in lower case; a text with fewer words than a shingle is
     one shingle, one without words has fingerprint zero and is linked like any other. Fingerprints
     that differ in at most ``max_bits`` bits are linked (more than 4 need wider ``segments``); ``component_id`` is the smallest ``doc_id``
-    reachable (null ids are passed over, and it is null if all are). The row with that id stays.
+    reachable (null ids are passed over, and it is null if all are). The row with that id
+    stays, of several the one with the smallest ``text_key``.
     Rows with the same id and the same text are kept alike. Other columns are ignored.
     """
     rows = stored(fingerprints(docs, words), "fingerprints")
-    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    nodes = stored(rows.groupBy("fp").agg(F.min(first).alias("first")), "distinct-fingerprints")
     found = components(links(nodes.select("fp"), max_bits, segments))
     rooted = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     rooted = stored(rooted, "rooted")
     # Written, so that the join has nothing but shuffles below it and a large component is split.
-    smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
-    classes = stored(rooted.join(smallest, "root").select("fp", "component_id"), "classes")
+    smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("smallest")), "smallest")
+    classes = stored(rooted.join(smallest, "root").select("fp", "smallest"), "classes")
     return rows.join(classes, "fp").select(
         "doc_id",
         "text_key",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        F.col("smallest.doc_id").alias("component_id"),
+        first.eqNullSafe(F.col("smallest")).alias("kept"),
     )
 
 

@@ -84,3 +84,11 @@ def test_simhash_takes_segments(docs):
     text = " ".join(f"w{i}" for i in range(60))
     got = simhash.near_duplicates(docs([(1, text), (2, text + " z")]), max_bits=6, segments=four)
     assert got.count() == 2
+
+
+def test_simhash_keeps_one_of_a_group(docs):
+    text = " ".join(f"w{i}" for i in range(60))
+    same = [text, text.upper(), text.title()]
+    assert simhash.drop_near_duplicates(docs([(None, t) for t in same])).count() == 1
+    left = simhash.drop_near_duplicates(docs([(7, t) for t in same] + [(9, text), (None, text)]))
+    assert [r["doc_id"] for r in left.collect()] == [7]
