@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import chunk_dedup, mixing, near_copies, pieces, toxicity
+from starmart.llm import chunk_dedup, mixing, pieces, simhash, toxicity
 from starmart.llm.common import stored, table
 
 # SQL cannot express the classifier, the fingerprints and the encoding.
@@ -26,8 +26,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by shingles of five words, similarity 0.8 or more."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group of fingerprints linked at four bits or fewer."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents; each result is written to the shared folder and read by the next.
+
+    An empty table gives an empty result. Nulls, empty and very long texts and repeated rows are
+    treated as each stage's operator says; further columns travel along to the last stage.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
