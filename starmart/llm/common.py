@@ -53,26 +53,36 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until ``df`` has no such column (letter case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``decided`` keeps, with all columns.
+    """The rows of ``docs`` that ``decided`` keeps, with all columns, whatever their names.
 
     ``decided`` has ``doc_id``, ``text_key`` and ``kept``, one row per row of ``docs``. A key with a
-    kept row comes out once, however often it is repeated.
+    kept row comes out once, however often it is repeated. Only keys that go or are repeated are
+    joined, broadcast if a count shows them to be few; then no text is shuffled.
     """
-    keys = decided.groupBy("doc_id", "text_key").agg(
-        F.count(F.lit(1)).alias("__n"), F.max("kept").alias("__kept")
-    )
-    keys = keys.filter("__kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__n"
+    keys = decided.groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")
     )
-    keys = stored(keys, "kept-keys")  # nothing but shuffles below the join: a hot key is split
-    columns = docs.columns
-    found = docs.join(
-        keys, docs["doc_id"].eqNullSafe(F.col("__id")) & (text_key(docs["text"]) == F.col("__key"))
+    odd = stored(keys.filter("not kept or n > 1"), "odd-keys")
+    # The columns of docs travel in one struct, so that none clashes with a key.
+    packed = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), text_key(F.col("text")).alias("own_key")
     )
-    once = found.filter("__n = 1").select(*columns)
-    repeated = found.filter("__n > 1").dropDuplicates(["__id", "__key"]).select(*columns)
-    return once.unionByName(repeated)
+    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_key") == F.col("key"))
+    left = packed.join(small(odd), same, "left_anti").select("row.*")
+    repeated = odd.filter("kept")
+    if repeated.isEmpty():
+        return left
+    once = packed.join(small(repeated), same, "left_semi").dropDuplicates(["own_id", "own_key"])
+    return left.unionByName(once.select("row.*"))
 
 
 def package_root() -> str:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import small, stored, word_count
+from starmart.llm.common import small, stored, unused, word_count
 from starmart.operators import add_id
 
 WEIGHTS = (1, 2, 3)
@@ -113,21 +113,23 @@ def mixing_plan(
     sizes = docs.select("source", word_count(F.col("text")).alias("size"), number.alias("chance"))
     sizes = stored(sizes, "sizes")
     shifts = best_shifts(sizes, source_targets(sizes, weights, max_repeats))
-    named = shifts.withColumnsRenamed({"source": "__source", "shift": "__shift"})
+    of, shift, rate = (unused(docs, name) for name in ("__source", "__shift", "__rate"))
+    named = shifts.withColumnsRenamed({"source": of, "shift": shift})
     sized = docs.withColumn("size", word_count(F.col("text"))).join(
-        small(stored(named, "shifts")), docs["source"].eqNullSafe(F.col("__source"))
+        small(stored(named, "shifts")), docs["source"].eqNullSafe(F.col(of))
     )
-    extra = shifted(number, F.col("__shift")) < F.col("__rate") - F.floor("__rate")
+    extra = shifted(number, F.col(shift)) < F.col(rate) - F.floor(rate)
     return (
-        sized.withColumn("__rate", repeats())
-        .withColumn("copies", (F.floor("__rate") + extra.cast("int")).cast("int"))
-        .drop("__source", "__rate", "__shift")
+        sized.withColumn(rate, repeats())
+        .withColumn("copies", (F.floor(rate) + extra.cast("int")).cast("int"))
+        .drop(of, rate, shift)
     )
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; its columns stay as they are."""
-    aside = {c: f"__own_{c}" for c in docs.columns if c in ADDED}
+    aside = {c: unused(docs, f"__own_{c}") for c in docs.columns if c in ADDED}
     planned = mixing_plan(docs.withColumnsRenamed(aside), **options).filter("copies > 0")
-    repeated = planned.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    copy = unused(planned, "__copy")
+    repeated = planned.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return repeated.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from llm_fixtures import docs, none, odd  # noqa: F401
-from starmart.llm import fertility, pieces, ranking, simhash, toxicity
+from starmart.llm import chunk_dedup, fertility, mixing, pieces, ranking, simhash, toxicity
 from starmart.llm.components import components
 
 TEXTS = [
@@ -238,6 +238,30 @@ def test_near_duplicates_odd(odd, none):
     assert simhash.near_duplicates(none).count() == 0 and simhash.drop_near_duplicates(none).count() == 0
 
 
+def test_simhash_takes_segments(docs):
+    four = tuple(simhash.Segment(16 * n, 16, 1) for n in range(4))
+    text = " ".join(f"w{i}" for i in range(60))
+    got = simhash.near_duplicates(docs([(1, text), (2, text + " z")]), max_bits=6, segments=four)
+    assert got.count() == 2
+
+
+def test_simhash_keeps_one_of_a_group(docs):
+    text = " ".join(f"w{i}" for i in range(60))
+    same = [text, text.upper(), text.title()]
+    assert simhash.drop_near_duplicates(docs([(None, t) for t in same])).count() == 1
+    left = simhash.drop_near_duplicates(docs([(7, t) for t in same] + [(9, text), (None, text)]))
+    assert [r["doc_id"] for r in left.collect()] == [7]
+
+
+def test_rows_kept_whatever_the_columns_are_called(docs):
+    made = [(7, "one text"), (7, "one text"), (8, "other words"), (None, "one  text"), (9, "other words")]
+    df = docs(made, "__n __id __key __kept id key own_id own_key row kept n __rate __source __shift __copy __own_size size")
+    left = simhash.drop_near_duplicates(df)
+    assert left.columns == df.columns and sorted(r["doc_id"] for r in left.collect()) == [7, 8]
+    assert sorted(r["doc_id"] for r in chunk_dedup.drop_duplicates(df).collect()) == [7, 8]
+    assert mixing.mix(df).columns == df.columns
+
+
 # Toxicity and ranking
 
 
