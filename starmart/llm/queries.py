@@ -15,6 +15,7 @@ from starmart.llm import (
     mixing,
     pieces,
     ranking,
+    repair,
     simhash,
     toxicity,
     urls,
@@ -86,6 +87,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge.judge(table(spark, sf_dir, "pages"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged by a rule, then repaired."""
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(conversations), conversations)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,5 +106,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_quality,
         op10_url_filter,
+        op13_repair,
     )
 }
