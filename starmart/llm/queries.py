@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starmart.llm import (
     chunk_dedup,
     fertility,
+    fingerprints,
     licenses,
     line_dedup,
     mixing,
@@ -87,6 +88,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge.judge(table(spark, sf_dir, "pages"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations damaged by a rule, then repaired."""
     conversations = table(spark, sf_dir, "conversations")
@@ -106,6 +112,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_quality,
         op10_url_filter,
+        op12_fingerprints,
         op13_repair,
     )
 }

@@ -1,0 +1,106 @@
+"""Fingerprints, edited texts and searches by permuted tables against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+import xxhash
+from conftest import plan
+from llm_fixtures import ODD, docs, none, odd  # noqa: F401
+
+from starmart.llm import fingerprints
+from starmart.llm.queries import LLM_QUERIES
+
+
+def brute(text):
+    words = re.findall(r"[^\x20\x09-\x0D]{1,16}", text)
+    votes, total = [0] * 64, 0
+    for a, b in zip(words, words[1:] + [None]):
+        h = xxhash.xxh64_intdigest(a.encode(), 42)
+        h = h if b is None else xxhash.xxh64_intdigest(b.encode(), h)
+        w = min(8, 1 + (len(a) + len(b or "")) // 4)
+        total += w
+        for n in range(64):
+            votes[n] += w * (h >> n & 1)
+    return sum(1 << n for n in range(64) if 2 * votes[n] > total)
+
+
+def plain(rows):
+    """Contract columns and n_within for (doc_id, text) rows without repeated ids."""
+    rows = sorted((i, t or "") for i, t in rows)
+    fps, out = [brute(t) for _, t in rows], []
+    for k, (doc_id, text) in enumerate(rows):
+        follower = rows[(k + 1) % len(rows)][1]
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + follower[:cut]
+        near = [1 - (fps[k] ^ other).bit_count() / 64 for other in (brute(edited), fps[(k + 1) % len(rows)])]
+        found = sum((fps[k] ^ x).bit_count() <= 3 for x in fps) - 1 if doc_id % 20 == 0 else None
+        out.append((doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), f"{fps[k]:016x}", f"{brute(edited):016x}", *near, found))
+    return Counter(out)
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet'").fetchall()
+    got = LLM_QUERIES["op12_fingerprints"](spark, sf)
+    assert got.columns[:7] == ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    assert Counter(map(tuple, got.collect())) == plain(rows)
+    # Part of a text stays the same, and most of a fingerprint; another document's is like a coin.
+    near = [(r["near_edited"], r["near_next"]) for r in got.collect()]
+    assert sum(a > b for a, b in near) / len(near) > 0.97
+
+
+def test_small_texts(docs):
+    rows = [(20, ""), (40, None), (1, "a"), (2, "one two"), (3, "漢字" * 40), (4, "🙂 naïve word"), (5, "abc def ghi jkl" * 50), (60, "one two")]
+    assert Counter(map(tuple, fingerprints.edited_fingerprints(docs(rows)).collect())) == plain(rows)
+    alone = fingerprints.edited_fingerprints(docs([(7, "abcdefgh")])).collect()
+    assert [r["edited_sha256"] for r in alone] == [hashlib.sha256(b"abcdefab").hexdigest()]
+
+
+def test_repeated_rows_follow_one_another(docs):
+    same, last = "the same words once more and again", "other words here"
+    got = fingerprints.edited_fingerprints(docs([(1, same)] * 3 + [(2, last)])).collect()
+    cut = len(same) // 4
+    shas = Counter(r["edited_sha256"] for r in got if r["doc_id"] == 1)
+    want = [same[:-cut] + same[:cut]] * 2 + [same[:-cut] + last[:cut]]
+    assert shas == Counter(hashlib.sha256(t.encode()).hexdigest() for t in want)
+
+
+def test_odd(odd, none):
+    got = fingerprints.edited_fingerprints(odd).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in ODD)
+    assert {r["fingerprint"] for r in got if r["n_chars"] == 0} == {"0" * 16}
+    assert fingerprints.edited_fingerprints(none).count() == 0
+    assert fingerprints.fingerprints(odd).count() == 9
+
+
+@pytest.mark.parametrize(("radius", "blocks"), [(0, 1), (1, 4), (3, 5), (3, 7), (6, 8)])
+def test_all_within_the_radius(spark, radius, blocks):
+    draw, made = random.Random(radius), {0, -1}
+    for _ in range(30):
+        fp = draw.getrandbits(64) - (1 << 63)
+        for _ in range(6):
+            flipped = fp
+            for n in draw.sample(range(63), draw.randint(0, 7)):
+                flipped ^= 1 << n
+            made.add(flipped)
+    fps = spark.createDataFrame([(x,) for x in made], "fp bigint")
+    asked = fps.filter("fp % 3 = 0")
+    near = lambda a, b: bin((a ^ b) & (1 << 64) - 1).count("1") <= radius
+    want = {(r["fp"], x) for r in asked.collect() for x in made if near(r["fp"], x)}
+    got = [tuple(r) for r in fingerprints.within(asked, fps, radius, blocks).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_radius_needs_blocks(spark):
+    with pytest.raises(ValueError):
+        fingerprints.block_tables(spark.createDataFrame([(1,)], "fp bigint"), 3, 3)
+
+
+def test_no_python_in_the_plan(docs):
+    assert "Python" not in plan(fingerprints.fingerprints(docs([(1, "a b c")])))
