@@ -2,6 +2,29 @@
 
 from __future__ import annotations
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+RANKED = f"""
+    WITH words AS (
+      SELECT doc_id, unnest(regexp_extract_all({LOWERED.format('text')}, '{TERM}')) AS term FROM documents),
+    freq AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+    sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM freq GROUP BY doc_id),
+    whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+    held AS (SELECT term, count(*) AS df FROM freq GROUP BY term),
+    asked AS (
+      SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all({LOWERED.format('text')}, '{TERM}')) AS term FROM benchmark)
+      GROUP BY ALL),
+    scored AS (
+      SELECT item_id, doc_id, CAST(sum(
+          times * CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+          * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+      FROM asked JOIN freq USING (term) JOIN held USING (term) JOIN sizes USING (doc_id) CROSS JOIN whole
+      GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(rn AS INTEGER) AS rank, doc_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rn FROM scored WHERE score > 0)
+    WHERE rn <= 20"""
+
 LLM_ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
 WITH parts AS (
@@ -74,4 +97,5 @@ WITH sized AS (
 SELECT t.doc_id, t.size, t.source_size, t.target, t.taken
 FROM tried t JOIN best b ON t.source IS NOT DISTINCT FROM b.source AND t.shift = b.shift
 """,
+    "op11_ranked_search": RANKED,
 }

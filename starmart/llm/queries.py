@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm import (
     chunk_dedup,
+    dual_tree,
     fertility,
     fingerprints,
     licenses,
@@ -88,6 +89,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for each benchmark item."""
+    return dual_tree.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
@@ -112,6 +118,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_quality,
         op10_url_filter,
+        op11_ranked_search,
         op12_fingerprints,
         op13_repair,
     )
