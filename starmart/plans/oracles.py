@@ -348,6 +348,11 @@ ORACLES: dict[str, str] = {
     "upsert_users": USERS_LATEST,
     "stage_roundtrip": LOG_ROWS,
     "stage_append": _with("songs", " SELECT * FROM songs UNION ALL SELECT * FROM songs"),
+    "stage_new_files": _with(
+        "visits",
+        f""" SELECT * REPLACE (CASE WHEN event_id % 3 = 1 THEN 'paid' ELSE level END AS level)
+        FROM (SELECT {VISIT_COLUMNS} FROM visits)""",
+    ),
     "stage_day": _with(
         "visits", f" SELECT {VISIT_COLUMNS} FROM visits WHERE day = DATE '2024-01-03'"
     ),

@@ -71,7 +71,8 @@ from starmart.sinks import (
     upsert_dimension,
     write_parquet,
 )
-from starmart.sources import date_prefix, read_json, stage_json
+from starmart import files
+from starmart.sources import date_prefix, read_json, read_staged, stage_json, stage_new_files
 from starmart.sources.json_files import good_rows
 from starmart.streaming import (
     read_json_stream,
@@ -592,6 +593,35 @@ def stage_append(spark, sf_dir):
     return spark.read.schema(STAGING_SONGS.schema).parquet(staged)
 
 
+def _put_json(spark, rows, folder, n=2):
+    """``rows`` as ``n`` JSON files of fixed names, replacing those of the same names."""
+    aside = work_dir(spark, "json")
+    rows.repartition(n).write.json(aside)
+    parts = [p for p in files.names(spark, aside) if p.endswith(".json")]
+    for k, part in enumerate(parts):
+        files.remove(spark, f"{folder}/part-{k}.json")
+        files.move(spark, f"{aside}/{part}", f"{folder}/part-{k}.json")
+
+
+@query
+def stage_new_files_(spark, sf_dir):
+    """Three arrivals: two folders; one more beside them; one of them replaced, its levels all paid. Files
+    seen before are not staged again, and of the replaced ones only the later rows count."""
+    raw, staged, ledger = (work_dir(spark, n) for n in ("arrivals", "staged-once", "ledger"))
+    rows = visits(spark, sf_dir).select(*VISIT_SPEC.columns)
+    third = F.pmod("event_id", F.lit(3))
+    arrivals = [
+        [("a", rows.filter(third == 0)), ("b", rows.filter(third == 1))],
+        [("c", rows.filter(third == 2))],
+        [("b", rows.filter(third == 1).withColumn("level", F.lit("paid")))],
+    ]
+    for arrival in arrivals:
+        for name, part in arrival:
+            _put_json(spark, part, f"{raw}/{name}")
+        stage_new_files(spark, raw, staged, ledger, VISIT_SPEC)
+    return read_staged(spark, staged, ledger, VISIT_SPEC)
+
+
 def _visits_by_day(spark, sf_dir):
     path = work_dir(spark, "visits-json")
     dated = visits(spark, sf_dir)
