@@ -356,6 +356,11 @@ ORACLES: dict[str, str] = {
     "stage_day": _with(
         "visits", f" SELECT {VISIT_COLUMNS} FROM visits WHERE day = DATE '2024-01-03'"
     ),
+    "replay_days": _with(
+        "visits",
+        f""" SELECT * EXCLUDE (d) REPLACE (CASE WHEN d BETWEEN 3 AND 5 THEN 'paid' ELSE level END AS level)
+        FROM (SELECT {VISIT_COLUMNS}, day(day) AS d FROM visits) WHERE d <> 6""",
+    ),
     "json_scan": _with(
         "visits",
         """ SELECT level, count(*) AS n_plays, max(ts) AS last_ts

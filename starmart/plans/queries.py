@@ -67,6 +67,7 @@ from starmart.sinks import (
     load_fact,
     load_new,
     read_target,
+    replay_days,
     table_location,
     upsert_dimension,
     write_parquet,
@@ -642,9 +643,27 @@ def stage_day(spark, sf_dir):
     return good_rows(spark.read.parquet(staged)).select(*VISIT_SPEC.columns)
 
 
+@query
+def replay_days_(spark, sf_dir):
+    """The month staged by day; then the log of days 3 to 5 comes again with all levels paid and day 6 is
+    taken back, and days 3 to 6 are replayed, twice."""
+    raw, staged = _visits_by_day(spark, sf_dir), work_dir(spark, "days")
+    first, last = date(2024, 1, 1), date(2024, 1, 31)
+    replay_days(spark, raw, staged, first, last, VISIT_SPEC, "hive")
+    again = visits(spark, sf_dir).filter(F.col("day").between("2024-01-03", "2024-01-05"))
+    for d in (3, 4, 5, 6):
+        files.remove(spark, date_prefix(raw, date(2024, 1, d), "hive"))
+    parts = {c: getattr(F, c)("day") for c in ("year", "month", "day")}
+    paid = again.withColumns({"level": F.lit("paid"), **parts}).select(*VISIT_SPEC.columns, *parts)
+    paid.write.mode("append").partitionBy(*parts).json(raw)
+    for _ in range(2):
+        replay_days(spark, raw, staged, date(2024, 1, 3), date(2024, 1, 6), VISIT_SPEC, "hive")
+    return spark.read.parquet(staged).select(*VISIT_SPEC.columns)
+
+
 @query
 def json_scan(spark, sf_dir):
-    """Plays per day folder, read straight from JSON with the declared schema."""
+    """Plays per level, read straight from the JSON of all days with the declared schema."""
     raw = read_json(spark, _visits_by_day(spark, sf_dir), VISIT_SPEC, corrupt="drop")
     return raw.filter(F.col("page") == PLAY_PAGE).groupBy("level").agg(
         F.count(F.lit(1)).alias("n_plays"), F.max("ts").alias("last_ts")

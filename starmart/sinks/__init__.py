@@ -1,5 +1,6 @@
 """Writing tables: plain Parquet folders and catalog tables."""
 
+from starmart.sinks.days import Replaced, read_days, replace_days, replay_days
 from starmart.sinks.loads import LoadResult, has_rows, load_fact, load_new, read_target
 from starmart.sinks.parquet import append, write_parquet
 from starmart.sinks.tables import (
@@ -14,6 +15,7 @@ from starmart.sinks.tables import (
 
 __all__ = [
     "LoadResult",
+    "Replaced",
     "append",
     "drop_table",
     "ensure_table",
@@ -23,7 +25,10 @@ __all__ = [
     "load_new",
     "name_folder",
     "publish",
+    "read_days",
     "read_target",
+    "replace_days",
+    "replay_days",
     "table_location",
     "upsert_dimension",
     "write_parquet",

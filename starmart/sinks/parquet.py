@@ -18,6 +18,7 @@ def write_parquet(
     mode: str = "append",
     sort_by: Sequence[str] = (),
     partitions: int | None = None,
+    dynamic: bool = False,
 ) -> int:
     """Write a Parquet folder and return the number of rows written.
 
@@ -27,7 +28,8 @@ def write_parquet(
     ``advisoryPartitionSizeInBytes``: then only folders larger than that are split, and small ones
     sharing a shuffle partition are not cut into pieces with them. ``sort_by`` orders rows inside
     each file for tighter row-group statistics. Rows are counted by the writing tasks themselves,
-    once per task however often it was tried.
+    once per task however often it was tried. ``dynamic`` makes ``overwrite`` replace only the folders
+    that get rows.
     """
     out = df
     if partition_by:
@@ -37,7 +39,10 @@ def write_parquet(
         out = out.sortWithinPartitions(*partition_by, *sort_by)
     written = Observation()
     out = out.observe(written, F.count(F.lit(1)).alias("n"))
-    out.write.mode(mode).parquet(path, partitionBy=list(partition_by) or None)
+    writer = out.write.mode(mode)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path, partitionBy=list(partition_by) or None)
     return int(written.get["n"])
 
 
