@@ -48,6 +48,22 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def move_into(spark: SparkSession, source: str, target: str) -> None:
+    """Move everything below ``source``, hidden files left out, to the same places below ``target``.
+
+    A folder that ``target`` lacks is moved as a whole, files of others one by one, as a commit does.
+    """
+    fs, at = _at(spark, source)
+    for status in fs.listStatus(at):
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if status.isDirectory() and exists(spark, f"{target}/{name}"):
+            move_into(spark, f"{source}/{name}", f"{target}/{name}")
+        else:
+            move(spark, f"{source}/{name}", f"{target}/{name}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, at = _at(spark, path)
     fs.delete(at, True)

@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starmart.operators.dedup import dedup_by_key
 from starmart.operators.skew import complete, hot_keys, salt_left, salt_right
@@ -77,26 +78,29 @@ def enrich(
     )
 
 
-def _near(target: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Target rows within the span of the batch, as literal bounds that reach the file scan.
+def span_metrics(columns: Sequence[str], keys: Sequence[str] = ()) -> list[Column]:
+    """Aggregates, as text, that give the span of ``columns`` over the rows whose ``keys`` are complete."""
+    inside = complete(keys) if keys else F.lit(True)
+    every = F.when(inside, F.struct(*columns))
+    ends = {}
+    for c in columns:
+        for end, find in (("min", F.min), ("max", F.max)):
+            ends[f"{end} {c}"] = find(F.when(inside, F.col(c)))
+        for end, find in (("first", F.min), ("last", F.max)):
+            ends[f"{end} {c}"] = find(every)[c]
+    return [found.cast("string").alias(name) for name, found in ends.items()]
+
+
+def _near(target: DataFrame, schema: StructType, ends: Mapping[str, str | None], columns: Sequence[str]) -> DataFrame:
+    """Target rows within a span, as literal bounds that reach the file scan.
 
     Rows with a null in ``columns`` are outside every span.
     """
-    every = F.struct(*columns)
-    span = batch.agg(
-        F.struct(*[F.min(c).alias(c) for c in columns]).alias("min"),
-        F.struct(*[F.max(c).alias(c) for c in columns]).alias("max"),
-        F.min(every).alias("first"),
-        F.max(every).alias("last"),
-    )
-    ends = span.select(
-        *[F.col(f"{end}.{c}").cast("string").alias(f"{end} {c}") for end in span.columns for c in columns]
-    ).first()
     if ends[f"min {columns[0]}"] is None:
         return target.filter(F.lit(False))
 
     def bound(end: str, c: str):
-        return F.lit(ends[f"{end} {c}"]).cast(batch.schema[c].dataType).alias(c)
+        return F.lit(ends[f"{end} {c}"]).cast(schema[c].dataType).alias(c)
 
     near = target
     for c in columns:
@@ -116,6 +120,7 @@ def anti_new(
     prune_by: Sequence[str] = (),
     nulls: str = "not in",
     unique_target: bool = False,
+    span: Mapping[str, str | None] | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose key is not in ``target``.
 
@@ -131,14 +136,17 @@ def anti_new(
     the whole target. ``prune_by`` names columns that are part of the key or functions of it: of the
     target only the range between the batch's lowest and highest values is read, by skipping
     folders (partition columns) or row groups (other columns, if the files are sorted by them).
-    Finding that range is a small job of its own over those columns of the batch.
+    Finding that range is a small job of its own over those columns of the batch, unless it is given as
+    ``span``: the values of ``span_metrics``, observed when the batch was written.
     """
     if nulls not in NULL_RULES:
         raise ValueError(f"nulls is one of {NULL_RULES}, not {nulls!r}")
     keys = [key] if isinstance(key, str) else list(key)
     wanted = target
     if prune_by:
-        wanted = _near(target, df.filter(complete(keys)) if nulls == "not in" else df, prune_by)
+        if span is None:
+            span = df.agg(*span_metrics(prune_by, keys if nulls == "not in" else ())).first().asDict()
+        wanted = _near(target, df.schema, span, prune_by)
         if nulls == "equal":
             wanted = wanted.unionByName(target.filter(~complete(prune_by)))
     known = wanted.select(*keys) if unique_target else wanted.select(*keys).distinct()

@@ -317,6 +317,9 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 3, 0, everything FROM n""",
     "load_fact_twice": _songplays(),
     "load_fact_pruned": _lake_songplays("AND ts IS NOT NULL"),
+    "audited_load": f"""
+        SELECT {EVENT_COLUMNS}, CAST(year(ts) AS INTEGER) AS "year", CAST(month(ts) AS INTEGER) AS month,
+               CAST(day(ts) AS INTEGER) AS day, 2 AS refused FROM events e""",
     "fact_ids_over_loads": _with(
         "log songs",
         f""" SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(1 AS BIGINT) AS first_id,

@@ -36,6 +36,7 @@ from starmart.operators import (
     preview,
     row_counts,
 )
+from starmart.operators.quality import QualityError
 from starmart.plans import recipes
 from starmart.plans.bindings import TABLES, log, song_feed, songs, table, visits
 from starmart.plans.recipes import SONG_IDS, SONG_MATCH, USER_FIELDS, USER_NAMES
@@ -60,6 +61,7 @@ from starmart.schemas import (
 from starmart.schemas import table as table_spec
 from starmart.session import work_dir
 from starmart.sinks import (
+    Audit,
     append,
     drop_table,
     ensure_table,
@@ -502,6 +504,25 @@ def load_fact_pruned(spark, sf_dir):
     return read_target(spark, path, spec).drop("id")
 
 
+@query
+def audited_load(spark, sf_dir):
+    """Three loads of events by day; the second repeats a key and has a negative value, and is refused as a
+    whole: the table holds the other two."""
+    path = work_dir(spark, "audited")
+    e = events(spark, sf_dir)
+    days = e.select("*", F.year("ts").alias("year"), F.month("ts").alias("month"), F.day("ts").alias("day"))
+    audit = Audit(min_rows=1, rules={"no negative value": F.col("value") >= 0})
+    early, late = days.filter(SPLIT), days.filter(~F.expr(SPLIT))
+    bad = late.withColumn("value", F.when(F.col("day") == 20, -F.col("value")).otherwise(F.col("value")))
+    refused = 0
+    for batch in (early, bad, early.unionByName(late.unionByName(late.filter("day = 21"))), late):
+        try:
+            load_new(batch, path, EVENTS_BY_DAY, audit=audit)
+        except QualityError:
+            refused += 1
+    return read_target(spark, path, EVENTS_BY_DAY).withColumn("refused", F.lit(refused))
+
+
 @query
 def fact_ids_over_loads(spark, sf_dir):
     """Dense ids of the fact after two loads: they go on where the first load ended."""

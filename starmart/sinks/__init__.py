@@ -1,7 +1,8 @@
 """Writing tables: plain Parquet folders and catalog tables."""
 
+from starmart.sinks.audit import Audit, has_rows
 from starmart.sinks.days import Replaced, read_days, replace_days, replay_days
-from starmart.sinks.loads import LoadResult, has_rows, load_fact, load_new, read_target
+from starmart.sinks.loads import LoadResult, load_fact, load_new, read_target
 from starmart.sinks.parquet import append, write_parquet
 from starmart.sinks.tables import (
     drop_table,
@@ -14,6 +15,7 @@ from starmart.sinks.tables import (
 )
 
 __all__ = [
+    "Audit",
     "LoadResult",
     "Replaced",
     "append",

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart import files
 from starmart.functions import hash_key
 from starmart.operators.clean import conform
 from starmart.operators.dedup import dedup_by_key
 from starmart.operators.identity import add_id
-from starmart.operators.joins import anti_new
+from starmart.operators.joins import anti_new, span_metrics
 from starmart.schemas import TableSpec
-from starmart.session import remove_dir, work_dir
-from starmart.sinks.parquet import write_parquet
+from starmart.session import work_dir
+from starmart.sinks.audit import Audit, has_rows
+from starmart.sinks.parquet import write_observed
 
 
 class LoadResult(NamedTuple):
@@ -31,31 +34,51 @@ def read_target(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return spark.read.schema(spec.schema).parquet(path)
 
 
-def has_rows(df: DataFrame) -> bool:
-    """Stops at the first row found."""
-    return not df.isEmpty()
+Step = Callable[[DataFrame, DataFrame, str], DataFrame]
+
+
+def _as_is(rows: DataFrame, target: DataFrame, scratch: str) -> DataFrame:
+    return rows
 
 
 def _load(
-    df: DataFrame, path: str, spec: TableSpec, key: Sequence[str], prune_by: Sequence[str],
-    count_skipped: bool, nulls: str, finish=lambda fresh, target, scratch: fresh,
+    batch: DataFrame, path: str, spec: TableSpec, key: Sequence[str], prune_by: Sequence[str], count_skipped: bool,
+    nulls: str, audit: Audit | None, prepare: Step | None = None, finish: Step = _as_is,
 ) -> LoadResult:
-    """Append what is new. Nothing new leaves no file: the new rows are written aside first, which
-    costs as much as the batch, however large the target is."""
-    spark = df.sparkSession
+    """Write the new rows aside, in their final layout, and move them into the table if they pass.
+
+    A batch that is pruned by its span, counted or prepared is itself written once before: its span is
+    observed by that write. Nothing new leaves no file, and what fails leaves the table as it was. The
+    folder aside is a hidden one of the table, so that moving stays within a file system.
+    """
+    spark = batch.sparkSession
     missing = [f.name for f in spec.schema if f.name in key and f.nullable]
     if nulls == "not in" and missing:
         raise ValueError(f"{spec.name}: {missing} may be null; compare with nulls='equal'")
     target = read_target(spark, path, spec)
-    fresh = anti_new(df, target, key, prune_by, nulls, unique_target=set(spec.pk) <= set(key))
-    aside, scratch = work_dir(spark, "new-rows"), work_dir(spark, "sequence")
-    inserted = write_parquet(fresh, aside)
-    if inserted:
-        rows = finish(spark.read.schema(fresh.schema).parquet(aside), target, scratch)
-        write_parquet(rows, path, spec.partition_by, "append", spec.sort_by)
-    for folder in (aside, scratch):
-        remove_dir(spark, folder)
-    return LoadResult(inserted, df.count() - inserted if count_skipped else None)
+    scratch, aside = work_dir(spark, "load"), f"{path.rstrip('/')}/_load-{uuid.uuid4().hex}"
+    try:
+        total, span = None, None
+        if prune_by or count_skipped or prepare:
+            wanted = span_metrics(prune_by, key if nulls == "not in" else ()) if prune_by else []
+            span = write_observed(batch, f"{scratch}/batch", metrics=wanted)
+            total = int(span["n"])
+            batch = spark.read.schema(batch.schema).parquet(f"{scratch}/batch")
+        if prepare:
+            batch = prepare(batch, target, scratch)
+        fresh = anti_new(batch, target, key, prune_by, nulls, set(spec.pk) <= set(key), span)
+        rows = finish(fresh, target, scratch)
+        checks = audit.metrics(spec) if audit else []
+        done = write_observed(rows, aside, spec.partition_by, "append", spec.sort_by, metrics=checks)
+        inserted = int(done["n"])
+        if audit:
+            audit.check(spec, spark.read.schema(spec.schema).parquet(aside), done, target)
+        if inserted:
+            files.move_into(spark, aside, path)
+    finally:
+        for folder in (scratch, aside):
+            files.remove(spark, folder)
+    return LoadResult(inserted, total - inserted if count_skipped else None)
 
 
 def load_new(
@@ -67,17 +90,19 @@ def load_new(
     count_skipped: bool = False,
     nulls: str = "not in",
     dedup_batch: bool = False,
+    audit: Audit | None = None,
 ) -> LoadResult:
     """Append the rows whose key (``spec.pk`` by default) the target does not hold.
 
     A second run of the same batch inserts nothing and leaves no file. ``prune_by`` and ``nulls``: see
-    ``anti_new``; a key with columns that may be null needs ``nulls="equal"``. ``count_skipped`` costs
-    a separate count of the batch; ``dedup_batch`` keeps one row per key of it.
+    ``anti_new``; a key with columns that may be null needs ``nulls="equal"``. ``count_skipped``
+    counts the batch, which is written once for that; ``dedup_batch`` keeps one row per key of it.
+    ``audit`` has to hold for the new rows, or the load fails and leaves the target as it was.
     """
     rows, key = conform(df, spec), key or spec.pk
     if dedup_batch:
         rows = dedup_by_key(rows, key, combine=True)
-    return _load(rows, path, spec, key, prune_by, count_skipped, nulls)
+    return _load(rows, path, spec, key, prune_by, count_skipped, nulls, audit)
 
 
 def load_fact(
@@ -91,6 +116,7 @@ def load_fact(
     prune_by: Sequence[str] = (),
     count_skipped: bool = False,
     nulls: str = "not in",
+    audit: Audit | None = None,
 ) -> LoadResult:
     """Append new fact rows by business key and give them their id.
 
@@ -105,23 +131,31 @@ def load_fact(
     if dedup_batch:
         batch = dedup_by_key(batch, key)
 
+    def tell_copies_apart(hashed: DataFrame, target: DataFrame, scratch: str) -> DataFrame:
+        """Only rows whose 8-byte hash occurs twice are grouped by all their columns."""
+        spark = hashed.sparkSession
+        twice = hashed.groupBy(id_column).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(id_column)
+        twice.write.parquet(f"{scratch}/repeated")
+        repeated = spark.read.schema(twice.schema).parquet(f"{scratch}/repeated")
+        if not has_rows(repeated):
+            return hashed
+        once = hashed.join(repeated, id_column, "left_anti")
+        # Copies are counted, which is combined before the shuffle, and written out again.
+        counted = hashed.join(repeated, id_column, "left_semi").groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("__n"))
+        copies = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+        number = F.when(F.col("__copy") > 1, hash_key([*columns, "__copy"])).otherwise(F.col(id_column))
+        return once.unionByName(copies.withColumn(id_column, number).select(*hashed.columns))
+
     def number(fresh: DataFrame, target: DataFrame, scratch: str) -> DataFrame:
-        if id_kind == "hash":
-            # Copies are counted, which is combined before the shuffle, and written out again.
-            counted = fresh.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-            copies = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
-            first = add_id(copies, "hash", id_column, columns)
-            later = hash_key([*columns, "__copy"])
-            numbered = first.withColumn(
-                id_column, F.when(F.col("__copy") > 1, later).otherwise(F.col(id_column))
-            )
-            return conform(numbered, spec)
         start = id_start
         if start is None:
             start = 1
             if id_kind == "sequence":
                 # Answered from the files' statistics.
                 start = (target.agg(F.max(id_column)).first()[0] or 0) + 1
-        return conform(add_id(fresh, id_kind, id_column, columns, start, scratch=scratch), spec)
+        return conform(add_id(fresh, id_kind, id_column, columns, start, scratch=f"{scratch}/sequence"), spec)
 
-    return _load(batch, path, spec, key, prune_by, count_skipped, nulls, number)
+    steps: dict[str, Step] = {"finish": number}
+    if id_kind == "hash":
+        batch, steps = conform(add_id(batch, "hash", id_column, columns), spec), {"prepare": tell_copies_apart}
+    return _load(batch, path, spec, key, prune_by, count_skipped, nulls, audit, **steps)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starmart.operators.clean import conform
@@ -31,6 +31,21 @@ def write_parquet(
     once per task however often it was tried. ``dynamic`` makes ``overwrite`` replace only the folders
     that get rows.
     """
+    done = write_observed(df, path, partition_by, mode, sort_by, partitions, dynamic)
+    return int(done["n"])
+
+
+def write_observed(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "append",
+    sort_by: Sequence[str] = (),
+    partitions: int | None = None,
+    dynamic: bool = False,
+    metrics: Sequence[Column] = (),
+) -> dict[str, object]:
+    """``write_parquet``, returning the rows written as ``n`` and further named aggregates over them."""
     out = df
     if partition_by:
         size = [partitions] if partitions else []
@@ -38,12 +53,12 @@ def write_parquet(
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
     written = Observation()
-    out = out.observe(written, F.count(F.lit(1)).alias("n"))
+    out = out.observe(written, F.count(F.lit(1)).alias("n"), *metrics)
     writer = out.write.mode(mode)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path, partitionBy=list(partition_by) or None)
-    return int(written.get["n"])
+    return dict(written.get)
 
 
 def append(df: DataFrame, path: str, spec: TableSpec) -> int:

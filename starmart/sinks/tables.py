@@ -12,11 +12,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart import files
 from starmart.operators.clean import conform
 from starmart.operators.dedup import merge_latest
+from starmart.operators.quality import QualityError
 from starmart.schemas import TableSpec
+from starmart.sinks.audit import Audit
 from starmart.sinks.loads import LoadResult, load_new
-from starmart.sinks.parquet import write_parquet
+from starmart.sinks.parquet import write_observed
 
 
 def _version(base: str) -> str:
@@ -56,38 +59,50 @@ def table_location(spark: SparkSession, name: str) -> str:
     return described.filter("col_name = 'Location'").first()["data_type"]
 
 
-def publish(df: DataFrame, spec: TableSpec, base: str, name: str | None = None) -> int:
+def publish(
+    df: DataFrame, spec: TableSpec, base: str, name: str | None = None, audit: Audit | None = None
+) -> int:
     """Replace the content of an unpartitioned table by ``df``; returns its rows.
 
-    ``df`` may read the table itself: its current version is not touched.
+    ``df`` may read the table itself: its current version is not touched. The table is pointed at the
+    new version only if that passes the ``audit``.
     """
     if spec.partition_by:
         raise ValueError(f"{spec.name} is partitioned: its folders are registered one by one")
     table = name or spec.name
     folder = _version(base)
-    rows = write_parquet(conform(df, spec), folder, mode="errorifexists")
     spark = df.sparkSession
+    checks = audit.metrics(spec) if audit else []
+    done = write_observed(conform(df, spec), folder, mode="errorifexists", metrics=checks)
+    if audit:
+        try:
+            audit.check(spec, spark.read.schema(spec.schema).parquet(folder), done)
+        except QualityError:
+            files.remove(spark, folder)
+            raise
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
     spark.catalog.refreshTable(table)
-    return rows
+    return int(done["n"])
 
 
 def load_dimension(
-    df: DataFrame, spec: TableSpec, base: str, append: bool = False, name: str | None = None
+    df: DataFrame, spec: TableSpec, base: str, append: bool = False, name: str | None = None,
+    audit: Audit | None = None,
 ) -> LoadResult:
     """Full refresh, or with ``append`` only the rows whose key the table does not hold."""
     if not append:
-        return LoadResult(publish(df, spec, base, name))
+        return LoadResult(publish(df, spec, base, name, audit))
     table = name or spec.name
     spark = df.sparkSession
-    loaded = load_new(df, table_location(spark, table), spec)
+    loaded = load_new(df, table_location(spark, table), spec, audit=audit)
     spark.catalog.refreshTable(table)
     return loaded
 
 
 def upsert_dimension(
-    df: DataFrame, spec: TableSpec, base: str, order_by: str | None = None, name: str | None = None
+    df: DataFrame, spec: TableSpec, base: str, order_by: str | None = None, name: str | None = None,
+    audit: Audit | None = None,
 ) -> int:
     """Insert new keys and replace the rows of known ones; see ``merge_latest``."""
     current = df.sparkSession.table(name or spec.name)
-    return publish(merge_latest(current, df, spec.pk, order_by), spec, base, name)
+    return publish(merge_latest(current, df, spec.pk, order_by), spec, base, name, audit)
