@@ -8,8 +8,10 @@ from starmart.operators.dedup import (
     latest_per_key,
     merge_latest,
 )
+from starmart.operators.id_ranges import add_reserved_id, reserve
 from starmart.operators.identity import add_id
 from starmart.operators.joins import anti_new, enrich
+from starmart.operators.near_match import enrich_near
 from starmart.operators.quality import (
     QualityError,
     TableCheck,
@@ -26,6 +28,7 @@ __all__ = [
     "QualityError",
     "TableCheck",
     "add_id",
+    "add_reserved_id",
     "anti_new",
     "check_keys",
     "check_min_rows",
@@ -35,6 +38,7 @@ __all__ = [
     "dedup_by_key",
     "distinct_rows",
     "enrich",
+    "enrich_near",
     "hot_keys",
     "impute_missing",
     "latest_by_time_join",
@@ -43,5 +47,6 @@ __all__ = [
     "preview",
     "require_finite",
     "require_present",
+    "reserve",
     "row_counts",
 ]

@@ -165,6 +165,12 @@ VISIT_COLUMNS = (
 LOG_ROWS = _with("log", " SELECT * FROM log")
 SONG_ROWS = _with("songs", " SELECT * FROM songs")
 
+NEW_EVENTS = f"""
+    SELECT {EVENT_COLUMNS} FROM events e
+    WHERE event_id NOT IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-15')"""
+COPIED_PLAYS = f"""SELECT * FROM ({_songplays()})
+    UNION ALL SELECT * FROM ({_songplays(where='AND "itemInSession" = 2')})"""
+
 ORACLES: dict[str, str] = {
     "songplays_fact": _songplays(),
     "songplays_unmatched": _songplays(where="AND song_id IS NULL"),
@@ -182,6 +188,16 @@ ORACLES: dict[str, str] = {
         "listed songs",
         f" SELECT l.*, song_id, artist_id FROM listed l LEFT JOIN songs s ON {MATCH}",
     ),
+    "songplays_tolerant": _with(
+        "listed songs",
+        """ SELECT l.*, song_id, artist_id FROM listed l LEFT JOIN songs s
+        ON l.artist = s.artist_name AND l.song = s.title AND abs(l.length - s.duration) <= 0.5""",
+    ),
+    "songplays_tolerant_salted": _with(
+        "listed songs",
+        """ SELECT l.*, song_id, artist_id FROM listed l LEFT JOIN songs s
+        ON l.artist = s.artist_name AND abs(l.length - s.duration) <= 0.05""",
+    ),
     "songplays_by_artist_salted": _with(
         "listed songs",
         """
@@ -247,9 +263,9 @@ ORACLES: dict[str, str] = {
         """ SELECT count(DISTINCT ts) AS n_ms, count(DISTINCT ts // 1000) AS n_seconds
         FROM log WHERE page = 'NextSong'""",
     ),
-    "new_by_key": f"""
-        SELECT {EVENT_COLUMNS} FROM events e
-        WHERE event_id NOT IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-15')""",
+    "new_by_key": NEW_EVENTS,
+    "new_by_filter": NEW_EVENTS,
+    "new_by_bucketed_target": NEW_EVENTS,
     "new_by_key_nulls": f"""
         SELECT {EVENT_COLUMNS}, {KIND} AS kind FROM events e
         WHERE {KIND} NOT IN (SELECT event_type FROM events WHERE event_type = 'click')""",
@@ -325,6 +341,11 @@ ORACLES: dict[str, str] = {
         f""" SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(1 AS BIGINT) AS first_id,
                count(*) AS last_id FROM log l LEFT JOIN songs s ON {MATCH} WHERE {KNOWN_PLAY}""",
     ),
+    "fact_ids_reserved": _with(
+        "log songs",
+        f""" SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(0 AS BIGINT) AS n_outside, TRUE AS small_gaps
+        FROM log l LEFT JOIN songs s ON {MATCH} WHERE {KNOWN_PLAY}""",
+    ),
     "fact_hash_ids": _with(
         "log songs",
         f""" SELECT 2 * count(*) AS n_rows, 2 * count(*) AS n_ids
@@ -411,8 +432,9 @@ ORACLES: dict[str, str] = {
           WHERE {KNOWN_PLAY}""",
     ),
     "stream_stage_equals_batch": LOG_ROWS,
-    "stream_fact_equals_batch": _songplays(),
-    "stream_fact_again": _songplays(),
+    "stream_fact_equals_batch": COPIED_PLAYS,
+    "stream_fact_again": COPIED_PLAYS,
+    "stream_fact_replayed": COPIED_PLAYS,
     "stream_seconds": _with(
         "visits",
         f""" SELECT DISTINCT {SECOND} AS start_time, "userId" FROM visits

@@ -7,6 +7,7 @@ stream write below the session's shared checkpoint folder first and return what
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,12 +31,14 @@ from starmart.operators import (
     conform,
     distinct_rows,
     enrich,
+    enrich_near,
     impute_missing,
     latest_per_key,
     merge_latest,
     preview,
     row_counts,
 )
+from starmart.operators.id_ranges import taken_blocks
 from starmart.operators.quality import QualityError
 from starmart.plans import recipes
 from starmart.plans.bindings import TABLES, log, song_feed, songs, table, visits
@@ -62,12 +65,16 @@ from starmart.schemas import table as table_spec
 from starmart.session import work_dir
 from starmart.sinks import (
     Audit,
+    add_keys,
     append,
+    append_bucketed,
     drop_table,
     ensure_table,
+    filtered_anti_new,
     load_dimension,
     load_fact,
     load_new,
+    new_for_bucketed,
     read_target,
     replay_days,
     table_location,
@@ -79,6 +86,7 @@ from starmart.sources import date_prefix, read_json, read_staged, stage_json, st
 from starmart.sources.json_files import good_rows
 from starmart.streaming import (
     read_json_stream,
+    read_stream_fact,
     stream_dedup,
     stream_fact,
     stream_stage,
@@ -106,6 +114,7 @@ USERS_DATED = table_spec(
     pk="userId",
 )
 SECONDS = table_spec("seconds", "start_time timestamp, userId string", pk="start_time userId", sort_by="start_time")
+KNOWN_EVENTS = table_spec("known_events", "event_id bigint, ts timestamp", pk="event_id")
 EVENTS_BY_DAY = table_spec(
     "events_by_day",
     "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string, "
@@ -196,6 +205,24 @@ def songplays_by_artist_salted(spark, sf_dir):
     )
 
 
+@query
+def songplays_tolerant(spark, sf_dir):
+    """Lengths may be half a unit off, which is what parts every seventh line from its song."""
+    return enrich_near(
+        _listed_lines(spark, sf_dir), songs(spark, sf_dir), {"artist": "artist_name", "song": "title"},
+        ("length", "duration"), 0.5, SONG_IDS,
+    )
+
+
+@query
+def songplays_tolerant_salted(spark, sf_dir):
+    """The nearest lengths of any song of the same artist: few, crowded keys, the hot bins salted."""
+    return enrich_near(
+        _listed_lines(spark, sf_dir), songs(spark, sf_dir), {"artist": "artist_name"}, ("length", "duration"), 0.05,
+        SONG_IDS, salts=8, hot_share=0.0001,
+    )
+
+
 # --- Dimensions ---
 
 
@@ -351,6 +378,29 @@ def new_by_typed_key(spark, sf_dir):
     return anti_new(batch, batch.filter(SPLIT_NOON), ["hour_start", "user_id"])
 
 
+@query
+def new_by_filter(spark, sf_dir):
+    """A batch against a target whose keys are in a sketch: only what may be known is compared."""
+    sketch, e = work_dir(spark, "sketch"), events(spark, sf_dir)
+    target = e.filter(SPLIT)
+    for half in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1):
+        add_keys(target.filter(half), sketch, ["event_id"], expected_keys=100_000)
+    return filtered_anti_new(e, target, ["event_id"], sketch)
+
+
+@query
+def new_by_bucketed_target(spark, sf_dir):
+    """A batch against a table bucketed by the key, loaded in two parts."""
+    base, e = work_dir(spark, "bucketed"), events(spark, sf_dir)
+    name = f"known_{base[-8:]}"
+    for part in (F.expr("ts < timestamp_ntz'2024-01-10'"), F.expr(f"ts >= timestamp_ntz'2024-01-10' AND {SPLIT}")):
+        append_bucketed(e.filter(part), KNOWN_EVENTS, ["event_id"], 8, name, f"{base}/table")
+    new = work_dir(spark, "new")
+    new_for_bucketed(e, name, ["event_id"]).write.parquet(new)
+    drop_table(spark, name)
+    return spark.read.schema(e.schema).parquet(new)
+
+
 @query
 def merged_latest(spark, sf_dir):
     """The latest row per user, from one half of the month merged into the other."""
@@ -539,6 +589,31 @@ def fact_ids_over_loads(spark, sf_dir):
     )
 
 
+@query
+def fact_ids_reserved(spark, sf_dir):
+    """Two loads that number their plays at the same time, from blocks of one ledger."""
+    path, ledger = work_dir(spark, "fact"), work_dir(spark, "ids")
+    plays, block = songplays_fact(spark, sf_dir), 1000
+    read_target(spark, path, FACT_SONGPLAYS)
+
+    def load(part):
+        key = ("start_time", "user_id")
+        return load_fact(plays.filter(part), path, FACT_SONGPLAYS, key, "reserved", id_ledger=ledger, id_block=block)
+
+    early = F.year("start_time") < 1996
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(load, (early, ~early)))
+    taken = [(k * block + 1, (k + 1) * block) for k in taken_blocks(spark, ledger)]
+    blocks = spark.createDataFrame(taken, "low bigint, high bigint")
+    ids = read_target(spark, path, FACT_SONGPLAYS).join(F.broadcast(blocks), F.ceil(F.col("id") / block) * block == F.col("high"), "left")
+    return ids.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("id").alias("n_ids"),
+        F.count_if(F.col("high").isNull()).alias("n_outside"),
+        (F.lit(len(taken) * block) - F.count(F.lit(1)) < 2 * block).alias("small_gaps"),
+    )
+
+
 @query
 def fact_hash_ids(spark, sf_dir):
     """Ids of a fact that was given every play twice in one batch: none is repeated."""
@@ -591,9 +666,15 @@ def upsert_users(spark, sf_dir):
 
 
 def _log_as_json(spark, sf_dir):
-    """Four files; the plays of a user, and so all copies of a key, are in one."""
     path = work_dir(spark, "log-json")
-    log(spark, sf_dir).repartition(4, "userId").write.json(path)
+    log(spark, sf_dir).write.json(path)
+    return path
+
+
+def _log_with_copies(spark, sf_dir, n_files=4):
+    """Every line of number 2 twice; the rows go to the files in turn, so that copies are parted."""
+    path, rows = work_dir(spark, "log-json"), log(spark, sf_dir)
+    rows.unionByName(rows.filter("itemInSession = 2")).repartition(n_files).write.json(path)
     return path
 
 
@@ -772,27 +853,37 @@ def stream_stage_equals_batch(spark, sf_dir):
     return spark.read.schema(STAGING_EVENTS.schema).parquet(dest)
 
 
+def _stream_fact_once(spark, sf_dir, raw, dest, state=None):
+    stream = read_json_stream(spark, raw, STAGING_EVENTS, files_per_trigger=1)
+    state = state or work_dir(spark, "stream-state")
+    stream_fact(stream, songs(spark, sf_dir), dest, state, STREAM_KEY, nulls="equal").awaitTermination()
+    return read_stream_fact(spark, dest).select(*[c for c in FACT_SONGPLAYS.columns if c != "id"])
+
+
 @query
 def stream_fact_equals_batch(spark, sf_dir):
-    """The fact built by a stream over the JSON log in several micro-batches, without the id."""
-    dest = work_dir(spark, "stream-fact")
-    _stream_fact_once(spark, sf_dir, _log_as_json(spark, sf_dir), dest)
-    return read_target(spark, dest, FACT_SONGPLAYS).drop("id")
+    """The fact built by a stream over the JSON log in several micro-batches that part equal plays, without
+    the id."""
+    return _stream_fact_once(spark, sf_dir, _log_with_copies(spark, sf_dir), work_dir(spark, "stream-fact"))
 
 
-def _stream_fact_once(spark, sf_dir, raw, dest):
-    stream = read_json_stream(spark, raw, STAGING_EVENTS, files_per_trigger=1)
-    state = work_dir(spark, "stream-state")
-    stream_fact(stream, songs(spark, sf_dir), dest, state, STREAM_KEY, nulls="equal").awaitTermination()
+@query
+def stream_fact_again(spark, sf_dir):
+    """The same after the stream has lost its checkpoint and read every file again, cut otherwise."""
+    dest = work_dir(spark, "stream-fact")
+    for n_files in (4, 2):
+        fact = _stream_fact_once(spark, sf_dir, _log_with_copies(spark, sf_dir, n_files), dest)
+    return fact
 
 
 @query
-def stream_fact_again(spark, sf_dir):
-    """The same after the stream has lost its checkpoint and read every file again."""
-    raw, dest = _log_as_json(spark, sf_dir), work_dir(spark, "stream-fact")
-    for _ in range(2):
-        _stream_fact_once(spark, sf_dir, raw, dest)
-    return read_target(spark, dest, FACT_SONGPLAYS).drop("id")
+def stream_fact_replayed(spark, sf_dir):
+    """The same after the run was killed before its last batch was noted: that batch is run again."""
+    raw, dest, state = _log_with_copies(spark, sf_dir, 2), work_dir(spark, "stream-fact"), work_dir(spark, "stream-state")
+    _stream_fact_once(spark, sf_dir, raw, dest, state)
+    last = max(files.names(spark, f"{state}/commits"), key=int)
+    files.remove(spark, f"{state}/commits/{last}")
+    return _stream_fact_once(spark, sf_dir, raw, dest, state)
 
 
 @query

@@ -1,7 +1,9 @@
 """Writing tables: plain Parquet folders and catalog tables."""
 
 from starmart.sinks.audit import Audit, has_rows
+from starmart.sinks.buckets import append_bucketed, new_for_bucketed
 from starmart.sinks.days import Replaced, read_days, replace_days, replay_days
+from starmart.sinks.key_filter import add_keys, filtered_anti_new, read_sketch
 from starmart.sinks.loads import LoadResult, load_fact, load_new, read_target
 from starmart.sinks.parquet import append, write_parquet
 from starmart.sinks.tables import (
@@ -18,16 +20,21 @@ __all__ = [
     "Audit",
     "LoadResult",
     "Replaced",
+    "add_keys",
     "append",
+    "append_bucketed",
     "drop_table",
     "ensure_table",
+    "filtered_anti_new",
     "has_rows",
     "load_dimension",
     "load_fact",
     "load_new",
     "name_folder",
+    "new_for_bucketed",
     "publish",
     "read_days",
+    "read_sketch",
     "read_target",
     "replace_days",
     "replay_days",

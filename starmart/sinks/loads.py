@@ -13,6 +13,7 @@ from starmart import files
 from starmart.functions import hash_key
 from starmart.operators.clean import conform
 from starmart.operators.dedup import dedup_by_key
+from starmart.operators.id_ranges import BLOCK_SIZE, add_reserved_id
 from starmart.operators.identity import add_id
 from starmart.operators.joins import anti_new, span_metrics
 from starmart.schemas import TableSpec
@@ -117,17 +118,23 @@ def load_fact(
     count_skipped: bool = False,
     nulls: str = "not in",
     audit: Audit | None = None,
+    id_salt: Sequence[str] = (),
+    id_ledger: str | None = None,
+    id_block: int = BLOCK_SIZE,
 ) -> LoadResult:
     """Append new fact rows by business key and give them their id.
 
     ``df`` has all columns of ``spec`` but the id. The key is compared with the target only, so
     equal keys inside one batch are all loaded unless ``dedup_batch``. A hash id is taken over
     every column and, from the second on, the number of the copy: identical rows of one batch get
-    ids of their own. A sequence goes on from the target's largest id unless ``id_start`` is given.
+    ids of their own; ``id_salt`` goes into the hash as well. A sequence goes on from the target's
+    largest id unless ``id_start`` is given, for one load at a time; ``reserved`` ids come from the blocks of
+    ``id_ledger`` (see ``add_reserved_id``), for several loads at once.
     """
     (id_column,) = spec.pk
     columns = [c for c in spec.columns if c != id_column]
     batch = df.select(*columns)
+    hashed_by = [*columns, *[F.lit(x) for x in id_salt]]
     if dedup_batch:
         batch = dedup_by_key(batch, key)
 
@@ -143,10 +150,15 @@ def load_fact(
         # Copies are counted, which is combined before the shuffle, and written out again.
         counted = hashed.join(repeated, id_column, "left_semi").groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("__n"))
         copies = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
-        number = F.when(F.col("__copy") > 1, hash_key([*columns, "__copy"])).otherwise(F.col(id_column))
+        number = F.when(F.col("__copy") > 1, hash_key([*hashed_by, "__copy"])).otherwise(F.col(id_column))
         return once.unionByName(copies.withColumn(id_column, number).select(*hashed.columns))
 
     def number(fresh: DataFrame, target: DataFrame, scratch: str) -> DataFrame:
+        if id_kind == "reserved":
+            if not id_ledger:
+                raise ValueError("reserved ids need an id_ledger")
+            rows = fresh.select(*columns)
+            return conform(add_reserved_id(rows, id_ledger, id_column, id_block, f"{scratch}/sequence"), spec)
         start = id_start
         if start is None:
             start = 1
@@ -157,5 +169,5 @@ def load_fact(
 
     steps: dict[str, Step] = {"finish": number}
     if id_kind == "hash":
-        batch, steps = conform(add_id(batch, "hash", id_column, columns), spec), {"prepare": tell_copies_apart}
+        batch, steps = conform(batch.withColumn(id_column, hash_key(hashed_by)), spec), {"prepare": tell_copies_apart}
     return _load(batch, path, spec, key, prune_by, count_skipped, nulls, audit, **steps)

@@ -2,6 +2,7 @@
 
 from starmart.streaming.loads import (
     read_json_stream,
+    read_stream_fact,
     stream_dedup,
     stream_dedup_within,
     stream_fact,
@@ -11,6 +12,7 @@ from starmart.streaming.loads import (
 
 __all__ = [
     "read_json_stream",
+    "read_stream_fact",
     "stream_dedup",
     "stream_dedup_within",
     "stream_fact",
