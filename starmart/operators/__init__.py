@@ -8,6 +8,7 @@ from starmart.operators.dedup import (
     latest_per_key,
     merge_latest,
 )
+from starmart.operators.history import as_of, intervals, sightings
 from starmart.operators.id_ranges import add_reserved_id, reserve
 from starmart.operators.identity import add_id
 from starmart.operators.joins import anti_new, enrich
@@ -30,6 +31,7 @@ __all__ = [
     "add_id",
     "add_reserved_id",
     "anti_new",
+    "as_of",
     "check_keys",
     "check_min_rows",
     "check_not_null",
@@ -41,6 +43,7 @@ __all__ = [
     "enrich_near",
     "hot_keys",
     "impute_missing",
+    "intervals",
     "latest_by_time_join",
     "latest_per_key",
     "merge_latest",
@@ -49,4 +52,5 @@ __all__ = [
     "require_present",
     "reserve",
     "row_counts",
+    "sightings",
 ]

@@ -369,6 +369,28 @@ ORACLES: dict[str, str] = {
         SELECT * FROM early
         UNION ALL SELECT * FROM everyone WHERE id NOT IN (SELECT id FROM early)""",
     ),
+    "user_level_history": _with(
+        "visits",
+        f"""
+        , seen AS (
+          SELECT "userId", {SECOND} AS start_time, min(level) AS level FROM visits WHERE {KNOWN_PLAY} GROUP BY ALL),
+        changed AS (
+          SELECT * FROM seen
+          QUALIFY lag(level) OVER (PARTITION BY "userId" ORDER BY start_time) IS DISTINCT FROM level)
+        SELECT "userId", level, start_time AS valid_from,
+               lead(start_time) OVER (PARTITION BY "userId" ORDER BY start_time) AS valid_to
+        FROM changed""",
+    ),
+    "level_at_event": _with(
+        "visits",
+        f"""
+        , seen AS (
+          SELECT "userId", {SECOND} AS start_time, min(level) AS level FROM visits WHERE {KNOWN_PLAY} GROUP BY ALL),
+        asked AS (
+          SELECT event_id, "userId", {SECOND} AS start_time FROM visits WHERE "userId" <> '' AND ts IS NOT NULL)
+        SELECT a.event_id, a."userId", a.start_time, s.level
+        FROM asked a ASOF LEFT JOIN seen s ON a."userId" = s."userId" AND a.start_time >= s.start_time""",
+    ),
     "upsert_users": USERS_LATEST,
     "stage_roundtrip": LOG_ROWS,
     "stage_append": _with("songs", " SELECT * FROM songs UNION ALL SELECT * FROM songs"),

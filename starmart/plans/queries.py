@@ -25,6 +25,7 @@ from starmart.functions.textkeys import TIME_KEY_12H, TIME_KEY_24H
 from starmart.operators import (
     add_id,
     anti_new,
+    as_of,
     check_min_rows,
     check_not_null,
     check_unique,
@@ -75,9 +76,11 @@ from starmart.sinks import (
     load_fact,
     load_new,
     new_for_bucketed,
+    read_history,
     read_target,
     replay_days,
     table_location,
+    update_history,
     upsert_dimension,
     write_parquet,
 )
@@ -665,6 +668,32 @@ def upsert_users(spark, sf_dir):
     return conform(read_target(spark, folder, USERS_DATED), DIM_USERS, USER_NAMES)
 
 
+def _levels_seen(spark, sf_dir):
+    """Dated plays of known users, with the second and the level."""
+    known = visits(spark, sf_dir).filter((F.col("userId") != "") & F.col("ts").isNotNull())
+    return known.withColumn("start_time", epoch_ms_to_ts("ts"))
+
+
+@query
+def user_level_history(spark, sf_dir):
+    """From when to when each user had a level; the rows come in three parts without regard to time, the
+    last one twice."""
+    base = work_dir(spark, "history")
+    seen = recipes.plays(_levels_seen(spark, sf_dir))
+    for part in (2, 0, 1, 1):
+        rows = seen.filter(F.pmod(F.col("event_id"), F.lit(3)) == part)
+        update_history(rows, base, ["userId"], "start_time", ["level"], parts=4)
+    return read_history(spark, base)
+
+
+@query
+def level_at_event(spark, sf_dir):
+    """Every dated event of a known user with the level of the user's last play up to then."""
+    seen = _levels_seen(spark, sf_dir)
+    asked = seen.select("event_id", "userId", "start_time")
+    return as_of(asked, recipes.plays(seen), ["userId"], "start_time", ["level"])
+
+
 def _log_as_json(spark, sf_dir):
     path = work_dir(spark, "log-json")
     log(spark, sf_dir).write.json(path)

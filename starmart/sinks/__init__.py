@@ -3,6 +3,7 @@
 from starmart.sinks.audit import Audit, has_rows
 from starmart.sinks.buckets import append_bucketed, new_for_bucketed
 from starmart.sinks.days import Replaced, read_days, replace_days, replay_days
+from starmart.sinks.history import read_history, update_history
 from starmart.sinks.key_filter import add_keys, filtered_anti_new, read_sketch
 from starmart.sinks.loads import LoadResult, load_fact, load_new, read_target
 from starmart.sinks.parquet import append, write_parquet
@@ -34,11 +35,13 @@ __all__ = [
     "new_for_bucketed",
     "publish",
     "read_days",
+    "read_history",
     "read_sketch",
     "read_target",
     "replace_days",
     "replay_days",
     "table_location",
+    "update_history",
     "upsert_dimension",
     "write_parquet",
 ]
