@@ -168,6 +168,11 @@ SONG_ROWS = _with("songs", " SELECT * FROM songs")
 NEW_EVENTS = f"""
     SELECT {EVENT_COLUMNS} FROM events e
     WHERE event_id NOT IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-15')"""
+SECONDS = _with(
+    "visits",
+    f""" SELECT DISTINCT {SECOND} AS start_time, "userId" FROM visits
+    WHERE page = 'NextSong' AND ts IS NOT NULL""",
+)
 COPIED_PLAYS = f"""SELECT * FROM ({_songplays()})
     UNION ALL SELECT * FROM ({_songplays(where='AND "itemInSession" = 2')})"""
 
@@ -457,10 +462,8 @@ ORACLES: dict[str, str] = {
     "stream_fact_equals_batch": COPIED_PLAYS,
     "stream_fact_again": COPIED_PLAYS,
     "stream_fact_replayed": COPIED_PLAYS,
-    "stream_seconds": _with(
-        "visits",
-        f""" SELECT DISTINCT {SECOND} AS start_time, "userId" FROM visits
-        WHERE page = 'NextSong' AND ts IS NOT NULL""",
-    ),
+    "stream_seconds": SECONDS,
+    "stream_seconds_keyed": SECONDS,
+    "stream_seconds_within": SECONDS,
     "stream_users": USERS_LATEST,
 }

@@ -91,6 +91,8 @@ from starmart.streaming import (
     read_json_stream,
     read_stream_fact,
     stream_dedup,
+    stream_dedup_keyed,
+    stream_dedup_within,
     stream_fact,
     stream_stage,
     stream_upsert_latest,
@@ -930,6 +932,38 @@ def stream_seconds(spark, sf_dir):
     return spark.read.schema(SECONDS.schema).parquet(dest)
 
 
+def _daily_visits(spark, sf_dir):
+    """A stream of three files in order of time, in which each file but the first repeats the one before."""
+    raw = work_dir(spark, "visits-json")
+    days = visits(spark, sf_dir).filter(F.col("ts").isNotNull())
+    thirds = [F.dayofmonth("day") <= 10, F.dayofmonth("day").between(11, 20), F.dayofmonth("day") > 20]
+    for k, third in enumerate(thirds):
+        part = days.filter(third | thirds[k - 1] if k else third).select(*VISIT_SPEC.columns)
+        _put_json(spark, part, f"{raw}/{k}", 1)
+    stream = recipes.plays(read_json_stream(spark, raw, VISIT_SPEC, files_per_trigger=1, corrupt="drop"))
+    return stream.select(epoch_ms_to_ts("ts").alias("start_time"), "userId")
+
+
+@query
+def stream_seconds_keyed(spark, sf_dir):
+    """Distinct (second, user) of plays that come up to twenty days late and twice, from keyed state."""
+    dest, state = work_dir(spark, "stream-keyed"), work_dir(spark, "stream-state")
+    stream = _daily_visits(spark, sf_dir)
+    keys = ["start_time", "userId"]
+    stream_dedup_keyed(stream, keys, "start_time", 86_400, "25 days", dest, state).awaitTermination()
+    return spark.read.schema(SECONDS.schema).parquet(dest)
+
+
+@query
+def stream_seconds_within(spark, sf_dir):
+    """The same from the state of Spark's deduplication within a watermark."""
+    dest, state = work_dir(spark, "stream-within"), work_dir(spark, "stream-state")
+    first = stream_dedup_within(_daily_visits(spark, sf_dir), ["start_time", "userId"], "start_time", "25 days")
+    writer = first.writeStream.format("parquet").option("path", dest).option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(SECONDS.schema).parquet(dest)
+
+
 @query
 def stream_users(spark, sf_dir):
     """The latest row of each user, kept by a stream of upserts."""

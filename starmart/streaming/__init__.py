@@ -1,5 +1,6 @@
 """Structured Streaming forms of the loads: each run takes only the files that are new."""
 
+from starmart.streaming.keyed import remembered, stream_dedup_keyed
 from starmart.streaming.loads import (
     read_json_stream,
     read_stream_fact,
@@ -13,7 +14,9 @@ from starmart.streaming.loads import (
 __all__ = [
     "read_json_stream",
     "read_stream_fact",
+    "remembered",
     "stream_dedup",
+    "stream_dedup_keyed",
     "stream_dedup_within",
     "stream_fact",
     "stream_stage",

@@ -1,6 +1,6 @@
 import json
 import os
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 
@@ -13,7 +13,9 @@ from starmart.sources.json_files import good_rows
 from starmart.streaming import (
     read_json_stream,
     read_stream_fact,
+    remembered,
     stream_dedup,
+    stream_dedup_keyed,
     stream_dedup_within,
     stream_fact,
     stream_stage,
@@ -112,6 +114,38 @@ def test_dedup_within_the_watermark(spark, arrive, folder):
     assert rows(spark.read.parquet(folder)) == [("a", first), ("b", first), ("c", second)]
 
 
+def test_keyed_state_forgets_on_time(spark, arrive, folder):
+    """Late, repeated and expired keys over several runs, against the rule in plain Python."""
+    spec, state = table("t", "user string, n int, at timestamp"), work_dir(spark, "state")
+    waves = [
+        [("a", 1, 10), ("a", 2, 9), ("b", 3, 10), (None, 4, 11), (None, 5, 12), ("x", 6, None)],
+        [("a", 7, 12), ("c", 8, 20), ("late", 9, 15)],
+        [("a", 10, 19), ("late", 11, 3), ("b", 12, 40)],
+        [("a", 13, 39), ("b", 14, 41), ("c", 15, 70)],
+        [("b", 16, 69), ("a", 17, 68), ("c", 18, 71)],
+    ]
+    keep, delay, latest, watermark = 12, 5, -1, -1
+    seen: dict = {}
+    want = []
+    for k, wave in enumerate(waves):
+        src = arrive(f"{k}.json", [dict(user=u, n=n, at=None if h is None else f"2024-01-{1 + h // 24:02}T{h % 24:02}:00:00") for u, n, h in wave])
+        stream = read_json_stream(spark, src, spec, corrupt="drop")
+        stream_dedup_keyed(stream, ["user"], "at", keep * 3600, f"{delay} hours", folder, state).awaitTermination()
+        # A run is one batch, and then one without rows if the watermark has moved.
+        rows_ = [(h, u, n) for u, n, h in wave if h is not None and h >= watermark]
+        for h, u, n in sorted(rows_, key=lambda r: (r[0], r[2])):
+            if u not in seen:
+                seen[u] = h + keep
+                want.append((u, n))
+        latest = max([latest, *[h for _, _, h in wave if h is not None]])
+        watermark = latest - delay
+        seen = {u: until for u, until in seen.items() if until > watermark}
+    assert rows(spark.read.parquet(folder).select("user", "n")) == sorted(want, key=repr)
+    held = {r["user"]: r["until"] for r in remembered(spark, state).collect()}
+    hour = lambda h: int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp() + h * 3600) * 1000
+    assert held == {u: hour(until) for u, until in seen.items()}
+
+
 def test_late_rows_are_neither_lost_nor_doubled(spark, arrive, folder):
     spec = table("t", "user string, at timestamp", pk="user at", sort_by="at")
     hours = [("a", 12), ("b", 13)], [("new", 2), ("a", 12)], [("new", 2), ("b", 13)], [(None, 1), (None, 1)]
