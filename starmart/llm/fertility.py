@@ -1,15 +1,18 @@
 """Quality rules with tokeniser fertility.
 
-Base rules count words, symbols, repeated lines and repeated word windows. A public vocabulary then
-measures characters per token, the share of byte-fallback tokens and token entropy; a text outside
-the band of its language (of its script where the language is missing or rare) is rejected; without either
+Base rules count words, symbols, repeated lines and repeated word windows. Two public vocabularies then
+measure the text: one with byte fallback gives characters per token, the share of byte tokens and
+token entropy; a byte-level one for many languages gives characters per token of its words and the
+share of tokens that are no whole characters. A text outside the band of its language (of its script where the language is missing or rare) is rejected; without either
 band the method rejects nothing. Bands are quantiles over all documents of the language or script.
 """
 
 from __future__ import annotations
 
-import re
+import base64
+import hashlib
 from collections.abc import Iterator
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -57,7 +60,19 @@ SCRIPTS = {
     "Ethiopic": "\u1200-\u139f",
     "Khmer": "\u1780-\u17ff",
 }
-_SCRIPT = re.compile("|".join(f"(?P<{name}>[{chars}]+)" for name, chars in SCRIPTS.items()))
+# The script of each code point of the basic plane, as a number from 1; 0 for all others.
+_NAMES = sorted(SCRIPTS)
+_SCRIPT_OF = np.zeros(1 << 16, np.uint8)
+for _name, _ranges in SCRIPTS.items():
+    for _first, _last in zip(_ranges[::3], _ranges[2::3]):
+        _SCRIPT_OF[ord(_first) : ord(_last) + 1] = _NAMES.index(_name) + 1
+SPACES = b" \t\n\x0b\x0c\r"
+# Bytes or characters of a text that are split or counted at once.
+CHUNK = 1 << 20
+WORD_RANKS = "byte_bpe_multi_50k.tiktoken"
+# Words of which a worker remembers the tokens, and characters of a word that are measured at once.
+REMEMBERED = 1 << 18
+LONGEST = 64
 
 
 class Band(NamedTuple):
@@ -76,27 +91,127 @@ BANDS = (
     Band("chars_per_token", 4.0, 0.05, True, True),
     Band("byte_share", 4.0, 0.0, False, True, 0.05),
     Band("entropy", 4.0, 0.05, True, False),
+    Band("chars_per_word_token", 4.0, 0.05, True, True),
+    Band("partial_share", 4.0, 0.0, False, True, 0.05),
 )
 
 
-def base_counts(text: str) -> tuple[int, int, int, int, int]:
-    """Words, their code points, symbols, repeated lines, words in repeated windows of three."""
+def word_numbers(data: bytes) -> tuple[np.ndarray, list[bytes]]:
+    """The words as numbers in order of first appearance, four bytes each, and the different words."""
+    numbers: dict[bytes, int] = {}
+    parts, start = [], 0
+    while start < len(data):
+        end = data.find(b" ", start + CHUNK)
+        end = len(data) if end < 0 else end
+        # Split on bytes: exactly the six white-space characters.
+        words = data[start:end].split()
+        parts.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words)))
+        start = end
+    return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), list(numbers)
+
+
+def repeated_words(ids: np.ndarray, distinct: int) -> int:
+    """Words in windows of three that occur more than once."""
+    if len(ids) < 4:
+        return 0
+    wide = ids.astype(np.int64)
+    pairs = wide[:-1] * distinct + wide[1:]
+    if distinct > 1 << 20:
+        pairs = np.unique(pairs, return_inverse=True)[1]
+    windows = pairs[:-1] * distinct + wide[2:]
+    order = np.argsort(windows, kind="stable")
+    ordered = windows[order]
+    same = ordered[1:] == ordered[:-1]
+    if not same.any():
+        return 0
+    covered = np.zeros(len(ids), bool)
+    for hits in (order[1:][same], order[:-1][same]):
+        for shift in range(3):
+            covered[hits + shift] = True
+    return int(covered.sum())
+
+
+def counted(text: str) -> tuple[tuple[int, int, int, int, int], list[bytes], np.ndarray]:
+    """Words, their code points, symbols, repeated lines, words in repeated windows of three; the
+    different words and how often each occurs."""
     data = text.encode()
-    words = data.split()  # on bytes: exactly the six white-space characters
+    ids, words = word_numbers(data)
     symbols = len(data) - len(data.translate(None, SYMBOLS))
+    chars = len(text) - (len(data) - len(data.translate(None, SPACES)))
     lines = [x for x in data.split(b"\n") if x.strip()]
-    chars = len(text) - (len(data) - sum(map(len, words)))
-    windows = list(zip(words, words[1:], words[2:]))
-    repeated = 0
-    if len(set(windows)) < len(windows):
-        numbers: dict[tuple[bytes, ...], int] = {}
-        ids = np.array([numbers.setdefault(w, len(numbers)) for w in windows])
-        hits = np.bincount(ids)[ids] > 1
-        covered = np.zeros(len(words), bool)
-        for shift in range(3):
-            covered[shift : shift + len(hits)] |= hits
-        repeated = int(covered.sum())
-    return len(words), chars, symbols, len(lines) - len(set(lines)), repeated
+    base = (len(ids), chars, symbols, len(lines) - len(set(lines)), repeated_words(ids, len(words)))
+    return base, words, np.bincount(ids, minlength=len(words))
+
+
+def base_counts(text: str) -> tuple[int, int, int, int, int]:
+    return counted(text)[0]
+
+
+class WordVocabulary:
+    """Tokens of single words under a byte-level vocabulary, which never joins words.
+
+    A word is measured as it stands in a line, with a space before it; what was found is remembered for
+    up to ``REMEMBERED`` words. A word longer than ``LONGEST`` characters is measured in parts.
+    """
+
+    def __init__(self, ranks: bytes):
+        import public_tokenizers
+        import tiktoken
+
+        parsed = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+        self.tokens = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=parsed, special_tokens={})
+        self.partial = {i for b, i in parsed.items() if not _is_text(b)}
+        self.known: dict[bytes, tuple[int, int]] = {}
+
+    def _measure(self, word: bytes) -> tuple[int, int]:
+        text = word.decode()
+        parts = [text[i : i + LONGEST] for i in range(0, len(text), LONGEST)]
+        ids = [i for p in parts for i in self.tokens.encode_ordinary(" " + p)]
+        return len(ids), sum(i in self.partial for i in ids)
+
+    def counts(self, words: list[bytes], times: np.ndarray) -> tuple[int, int]:
+        """Tokens, and those that are no whole characters, of words that occur so often."""
+        known, found = self.known, []
+        for word in words:
+            measure = known.get(word)
+            if measure is None:
+                measure = self._measure(word)
+                if len(word) <= LONGEST:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[word] = measure
+            found.append(measure)
+        if not found:
+            return 0, 0
+        tokens, partial = times @ np.array(found, np.int64)
+        return int(tokens), int(partial)
+
+
+def _is_text(data: bytes) -> bool:
+    try:
+        data.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+def word_ranks(path: str | None = None) -> bytes:
+    """The file of the vocabulary that measures words, by default the public one for many languages; read
+    on the driver and sent along with the task."""
+    import public_tokenizers
+
+    return Path(path or public_tokenizers.path(WORD_RANKS)).read_bytes()
+
+
+_VOCABULARIES: dict[bytes, WordVocabulary] = {}
+
+
+def vocabulary(ranks: bytes) -> WordVocabulary:
+    """The worker's vocabulary, made once per process."""
+    key = hashlib.sha256(ranks).digest()
+    if key not in _VOCABULARIES:
+        _VOCABULARIES[key] = WordVocabulary(ranks)
+    return _VOCABULARIES[key]
 
 
 def block_entropy(ids: np.ndarray, block: int = BLOCK) -> float:
@@ -124,34 +239,42 @@ def block_entropy(ids: np.ndarray, block: int = BLOCK) -> float:
 
 
 def script(text: str) -> str:
-    """The script of most letters, "none" without any."""
-    counts: dict[str, int] = {}
-    for m in _SCRIPT.finditer(text):
-        counts[m.lastgroup] = counts.get(m.lastgroup, 0) + m.end() - m.start()
-    return max(counts, key=lambda k: (counts[k], k)) if counts else "none"
-
-
-def measure_batches(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
-    enc = encoder(model)
+    """The script of most letters (of equal ones the last by name), "none" without any."""
+    counts = np.zeros(len(_NAMES) + 1, np.int64)
+    for start in range(0, len(text), CHUNK):
+        points = np.frombuffer(text[start : start + CHUNK].encode("utf-32-le"), np.uint32)
+        known = _SCRIPT_OF[np.where(points < 1 << 16, points, 0)]
+        counts += np.bincount(known, minlength=len(counts))
+    found = counts[1:]
+    return _NAMES[len(found) - 1 - int(found[::-1].argmax())] if found.any() else "none"
+
+
+def measure_batches(batches: Iterator[pa.RecordBatch], model: bytes, ranks: bytes) -> Iterator[pa.RecordBatch]:
+    enc, by_word = encoder(model), vocabulary(ranks)
     names = ["doc_id", "lang", "script", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     names += ["n_tokens", "chars_per_token", "byte_share", "entropy"]
+    names += ["word_tokens", "chars_per_word_token", "partial_share"]
     for batch in batches:
         rows = []
         for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             ids = enc.ids(text)
             n = len(ids)
             share = float(enc.is_byte[ids].sum()) / n if n else 0.0
-            rows.append((lang or None, script(text), *base_counts(text), n, len(text) / n if n else 0.0, share, block_entropy(ids)))
-        kinds = [*[pa.string()] * 2, *[pa.int64()] * 6, *[pa.float64()] * 3]
+            base, words, times = counted(text)
+            tokens, partial = by_word.counts(words, times)
+            measured = (n, len(text) / n if n else 0.0, share, block_entropy(ids))
+            by_words = (tokens, base[1] / tokens if tokens else 0.0, partial / tokens if tokens else 0.0)
+            rows.append((lang or None, script(text), *base, *measured, *by_words))
+        kinds = [*[pa.string()] * 2, *[pa.int64()] * 6, *[pa.float64()] * 3, pa.int64(), *[pa.float64()] * 2]
         columns = list(zip(*rows)) if rows else [[]] * len(kinds)
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
         yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)
 
 
-def measures(docs: DataFrame, model: bytes | None = None) -> DataFrame:
+def measures(docs: DataFrame, model: bytes | None = None, ranks: bytes | None = None) -> DataFrame:
     """Base counts and token measures of each row, its ``lang`` (null if empty) and its ``script``.
     Null texts count as empty."""
-    model = model or model_bytes()
+    model, ranks = model or model_bytes(), ranks or word_ranks()
     root = package_root()
 
     def run(batches):
@@ -161,11 +284,12 @@ def measures(docs: DataFrame, model: bytes | None = None) -> DataFrame:
             sys.path.append(root)
         from starmart.llm import fertility
 
-        yield from fertility.measure_batches(batches, model)
+        yield from fertility.measure_batches(batches, model, ranks)
 
     key = docs.schema["doc_id"].dataType.simpleString()
     counts = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
-    tokens = "n_tokens bigint, chars_per_token double, byte_share double, entropy double"
+    tokens = "n_tokens bigint, chars_per_token double, byte_share double, entropy double, "
+    tokens += "word_tokens bigint, chars_per_word_token double, partial_share double"
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
     return texts.mapInArrow(run, f"doc_id {key}, lang string, script string, {counts}, {tokens}")
 
@@ -198,12 +322,16 @@ def fit_bands(measured: DataFrame, by: str, bands: tuple[Band, ...] = BANDS) ->
     return own.select(by, *limits)
 
 
-def rate(docs: DataFrame, model: bytes | None = None, bands: tuple[Band, ...] = BANDS) -> DataFrame:
+def rate(
+    docs: DataFrame, model: bytes | None = None, bands: tuple[Band, ...] = BANDS, ranks: bytes | None = None
+) -> DataFrame:
     """One row per row of ``docs`` with all measures, ``base_failed``, the method's ``rejected`` and
-    ``kept`` (neither). Where neither the language nor the script has
-    a band, the method rejects nothing.
-    Repeated rows are rated alike; other columns are ignored."""
-    measured = stored(measures(docs, model), "fertility")
+    ``kept`` (neither). Where neither the language nor the script has a band, the method rejects nothing.
+
+    Null texts count as empty, which fail the base rules. Repeated rows are rated alike; other columns are
+    ignored; an empty table gives no rows. Texts of any length are counted in chunks, with four bytes a
+    word beside the different words."""
+    measured = stored(measures(docs, model, ranks), "fertility")
     joined, names = measured, []
     for by in ("lang", "script"):
         limits = stored(fit_bands(measured, by, bands), f"fertility-bands-{by}")

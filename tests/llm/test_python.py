@@ -114,6 +114,48 @@ def test_base_counts():
     assert fertility.base_counts("a\xa0b c d") == (2, 6, 0, 0, 0)
 
 
+def test_repeated_windows_and_scripts_like_plain_python():
+    draw = random.Random(8)
+    pick = lambda: chr(draw.choice([draw.randint(1, 0x2FFF), draw.randint(65, 122), draw.randint(0x3040, 0xD7A0), 0x1F642]))
+    for _ in range(300):
+        words = [draw.choice([b"a", b"b", b"c", b"d" * draw.randint(1, 3)]) for _ in range(draw.randint(0, 25))]
+        windows = list(zip(words, words[1:], words[2:]))
+        many = Counter(windows)
+        covered = {i + k for i, w in enumerate(windows) if many[w] > 1 for k in range(3)}
+        assert fertility.base_counts(b" ".join(words).decode())[4] == len(covered)
+        text = "".join(pick() for _ in range(draw.randint(0, 30)))
+        letters = Counter()
+        for name, ranges in fertility.SCRIPTS.items():
+            letters[name] = sum(any(a <= c <= b for a, b in zip(ranges[::3], ranges[2::3])) for c in text)
+        assert fertility.script(text) == (max(letters, key=lambda k: (letters[k], k)) if letters.total() else "none")
+
+
+def test_long_texts_are_counted_in_chunks(monkeypatch):
+    text = "one two  three\nfour one two three naïve 漢字 " * 20
+    whole = fertility.base_counts(text), fertility.script(text)
+    monkeypatch.setattr(fertility, "CHUNK", 5)
+    assert (fertility.base_counts(text), fertility.script(text)) == whole
+
+
+def test_words_have_the_tokens_of_the_line(monkeypatch):
+    vocabulary = fertility.WordVocabulary(fertility.word_ranks())
+    text = "Some words, naïve words! 漢字 x9$q%7 don't 🙂 " + "long" * 40 + "漢字" * 50
+    monkeypatch.setattr(fertility, "REMEMBERED", 3)
+    monkeypatch.setattr(fertility, "LONGEST", 1000)
+    base, words, times = fertility.counted(text)
+    ids = vocabulary.tokens.encode_ordinary(" " + text)
+    partial = 0
+    for i in ids:
+        try:
+            vocabulary.tokens.decode_single_token_bytes(i).decode()
+        except UnicodeDecodeError:
+            partial += 1
+    assert vocabulary.counts(words, times) == vocabulary.counts(words, times) == (len(ids), partial) and partial > 0
+    assert vocabulary.counts([], times[:0]) == (0, 0)
+    monkeypatch.setattr(fertility, "LONGEST", 8)
+    assert vocabulary.counts(words, times)[0] >= base[0]
+
+
 def test_script():
     assert fertility.script("привет мир abc") == "Cyrillic"
     assert fertility.script("漢字漢字 ab") == "Han" and fertility.script("12 !?") == "none"
@@ -348,7 +390,7 @@ def test_batches_without_rows():
     empty = pa.RecordBatch.from_arrays(
         [pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.string())], ["doc_id", "text", "lang"]
     )
-    assert list(fertility.measure_batches([empty], pieces.model_bytes()))[0].num_rows == 0
+    assert list(fertility.measure_batches([empty], pieces.model_bytes(), fertility.word_ranks()))[0].num_rows == 0
 
 
 def test_two_wide_segments_find_the_same(spark):

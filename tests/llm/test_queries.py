@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import math
+from collections import Counter, defaultdict
+from decimal import ROUND_HALF_UP, Decimal
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from oracle import connect, difference
+from starmart.llm import fertility, toxicity
 from starmart.llm.queries import LLM_ORACLES, LLM_QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -53,6 +58,50 @@ def test_op2_base(spark, con):
         assert not (r["base_failed"] and r["kept"])
 
 
+def test_op2_verdict(spark):
+    """``kept`` from the library's tokens and quartiles of each language in plain Python."""
+    import public_tokenizers
+    import sentencepiece
+
+    sf = "/root/testdata/sf0.01"
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    by_word = fertility.vocabulary(fertility.word_ranks()).tokens
+    partial = fertility.vocabulary(fertility.word_ranks()).partial
+    docs = duckdb.sql(f"SELECT doc_id, text, lang FROM '{sf}/documents.parquet'").fetchall()
+    got = {r["doc_id"]: r for r in LLM_QUERIES["op2_fertility"](spark, sf).collect()}
+    measured, passed = {}, defaultdict(list)
+    for doc_id, text, lang in docs:
+        ids = sp.encode(text)
+        blocks = [ids[i : i + 256] for i in range(0, max(1, len(ids) // 256) * 256, 256)]
+        blocks[-1] = ids[(len(blocks) - 1) * 256 :]
+        bits = sum(-c * math.log2(c / len(b)) for b in blocks for c in Counter(b).values())
+        words = text.replace("\x0b", " ").encode().split()
+        pieces = [i for w in words for k in range(0, len(w.decode()), 64) for i in by_word.encode_ordinary(" " + w.decode()[k : k + 64])]
+        measured[doc_id] = {
+            "chars_per_token": len(text) / max(1, len(ids)),
+            "byte_share": sum(sp.is_byte(i) for i in ids) / max(1, len(ids)),
+            "entropy": bits / max(1, len(ids)),
+            "chars_per_word_token": sum(len(w.decode()) for w in words) / max(1, len(pieces)),
+            "partial_share": sum(i in partial for i in pieces) / max(1, len(pieces)),
+            "n": len(ids),
+        }
+        if not got[doc_id]["base_failed"]:
+            passed[lang].append(doc_id)
+    rounded = lambda x: float(Decimal(repr(x)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+    rejected = 0
+    for doc_id, _, lang in docs:
+        inside = True
+        for b in fertility.BANDS if len(passed[lang]) >= 50 else ():
+            q1, q2, q3 = np.percentile([rounded(measured[i][b.measure]) for i in passed[lang]], [25, 50, 75])
+            slack = max((q3 - q1) * b.reach, q2 * b.least, b.floor) * (1 + 100 / max(1, measured[doc_id]["n"]))
+            value = measured[doc_id][b.measure]
+            inside &= (not b.low or value >= q1 - slack - 1e-9) and (not b.high or value <= q3 + slack + 1e-9)
+        assert all(len(passed[x]) >= 50 for x in passed)
+        assert got[doc_id]["kept"] == (inside and not got[doc_id]["base_failed"]), doc_id
+        rejected += not inside
+    assert 0 < rejected < len(docs) / 5
+
+
 def test_op3_is_the_library(spark, con):
     import public_tokenizers
     import sentencepiece
@@ -74,6 +123,18 @@ def test_op9_held_out(spark):
     assert len(got) > 50 and right / len(got) > 0.95
 
 
+def test_op7_held_out(spark):
+    """Trained without a third of the labels, judged on that third."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    apart = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    chain = toxicity.train(docs, labels.filter(~apart))
+    judged = toxicity.classify(docs, chain).join(labels.filter(apart).select("doc_id", F.col("toxic").alias("mark")), "doc_id")
+    rows = judged.select("mark", "toxic").collect()
+    caught, spared = [r["toxic"] for r in rows if r["mark"] == 1], [not r["toxic"] for r in rows if r["mark"] == 0]
+    assert len(caught) > 30 and sum(caught) / len(caught) > 0.8 and sum(spared) / len(spared) > 0.98
+
+
 def test_op7_labels(spark):
     sf = "/root/testdata/sf0.1"
     labels = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{sf}/labels.parquet'").fetchall())
