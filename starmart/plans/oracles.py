@@ -466,4 +466,6 @@ ORACLES: dict[str, str] = {
     "stream_seconds_keyed": SECONDS,
     "stream_seconds_within": SECONDS,
     "stream_users": USERS_LATEST,
+    "stream_users_parts": USERS_LATEST,
+    "upsert_users_parts": USERS_LATEST,
 }

@@ -70,6 +70,7 @@ from starmart.sinks import (
     append,
     append_bucketed,
     drop_table,
+    ensure_parted,
     ensure_table,
     filtered_anti_new,
     load_dimension,
@@ -77,11 +78,13 @@ from starmart.sinks import (
     load_new,
     new_for_bucketed,
     read_history,
+    read_parted,
     read_target,
     replay_days,
     table_location,
     update_history,
     upsert_dimension,
+    upsert_parts,
     write_parquet,
 )
 from starmart import files
@@ -670,6 +673,23 @@ def upsert_users(spark, sf_dir):
     return conform(read_target(spark, folder, USERS_DATED), DIM_USERS, USER_NAMES)
 
 
+@query
+def upsert_users_parts(spark, sf_dir):
+    """The same into a table in eight parts, of which an upsert rewrites the touched ones."""
+    base = work_dir(spark, "parted")
+    name = f"users_{base[-8:]}"
+    ensure_parted(spark, USERS_DATED, base, name)
+    dated = recipes.plays(visits(spark, sf_dir)).filter(F.col("ts").isNotNull())
+    rows = recipes.numbered_users(dated).select(*USERS_DATED.columns)
+    for half in (rows.filter(F.col("ts") < SPLIT_MS), rows.filter(F.col("ts") >= SPLIT_MS)):
+        latest = latest_per_key(half, USERS_DATED.pk, "ts", combine=True)
+        upsert_parts(latest, USERS_DATED, base, "ts", name, 8, Audit(min_rows=1))
+    kept = work_dir(spark, "users")
+    read_parted(spark, USERS_DATED, name).write.parquet(kept)
+    drop_table(spark, name)
+    return conform(read_target(spark, kept, USERS_DATED), DIM_USERS, USER_NAMES)
+
+
 def _levels_seen(spark, sf_dir):
     """Dated plays of known users, with the second and the level."""
     known = visits(spark, sf_dir).filter((F.col("userId") != "") & F.col("ts").isNotNull())
@@ -964,19 +984,35 @@ def stream_seconds_within(spark, sf_dir):
     return spark.read.schema(SECONDS.schema).parquet(dest)
 
 
+def _stream_users(spark, sf_dir, base, name, n_files, parts=None):
+    raw, state = work_dir(spark, "visits-json"), work_dir(spark, "stream-state")
+    visits(spark, sf_dir).select(*VISIT_SPEC.columns).repartition(n_files).write.json(raw)
+    stream = read_json_stream(spark, raw, VISIT_SPEC, files_per_trigger=1)
+    known = recipes.numbered_users(recipes.plays(stream).filter(F.col("ts").isNotNull()))
+    rows = known.select(*USERS_DATED.columns)
+    stream_upsert_latest(rows, USERS_DATED, base, state, "ts", name, parts).awaitTermination()
+
+
+@query
+def stream_users_parts(spark, sf_dir):
+    """The latest row of each user, kept by a stream of three micro-batches in a table in parts."""
+    base = work_dir(spark, "stream-users")
+    name = f"users_{base[-8:]}"
+    ensure_parted(spark, USERS_DATED, base, name)
+    _stream_users(spark, sf_dir, base, name, 3, 4)
+    kept = work_dir(spark, "users")
+    read_parted(spark, USERS_DATED, name).write.parquet(kept)
+    drop_table(spark, name)
+    return conform(read_target(spark, kept, USERS_DATED), DIM_USERS, USER_NAMES)
+
+
 @query
 def stream_users(spark, sf_dir):
-    """The latest row of each user, kept by a stream of upserts."""
-    raw, base = work_dir(spark, "visits-json"), work_dir(spark, "stream-users")
-    visits(spark, sf_dir).select(*VISIT_SPEC.columns).write.json(raw)
+    """The latest row of each user, kept by a stream of upserts in two micro-batches."""
+    base = work_dir(spark, "stream-users")
     name = f"users_{base[-8:]}"
     ensure_table(spark, USERS_DATED, base, name)
-    known = recipes.numbered_users(
-        recipes.plays(read_json_stream(spark, raw, VISIT_SPEC)).filter(F.col("ts").isNotNull())
-    )
-    stream_upsert_latest(
-        known.select(*USERS_DATED.columns), USERS_DATED, base, work_dir(spark, "stream-state"), "ts", name
-    ).awaitTermination()
+    _stream_users(spark, sf_dir, base, name, 2)
     folder = table_location(spark, name)
     drop_table(spark, name)
     return conform(read_target(spark, folder, USERS_DATED), DIM_USERS, USER_NAMES)

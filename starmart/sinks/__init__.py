@@ -7,6 +7,7 @@ from starmart.sinks.history import read_history, update_history
 from starmart.sinks.key_filter import add_keys, filtered_anti_new, read_sketch
 from starmart.sinks.loads import LoadResult, load_fact, load_new, read_target
 from starmart.sinks.parquet import append, write_parquet
+from starmart.sinks.parts import ensure_parted, read_parted, upsert_parts
 from starmart.sinks.tables import (
     drop_table,
     ensure_table,
@@ -25,6 +26,7 @@ __all__ = [
     "append",
     "append_bucketed",
     "drop_table",
+    "ensure_parted",
     "ensure_table",
     "filtered_anti_new",
     "has_rows",
@@ -36,6 +38,7 @@ __all__ = [
     "publish",
     "read_days",
     "read_history",
+    "read_parted",
     "read_sketch",
     "read_target",
     "replace_days",
@@ -43,5 +46,6 @@ __all__ = [
     "table_location",
     "update_history",
     "upsert_dimension",
+    "upsert_parts",
     "write_parquet",
 ]

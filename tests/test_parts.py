@@ -1,0 +1,42 @@
+import os
+
+import pytest
+
+from conftest import rows
+from starmart.operators import QualityError
+from starmart.schemas import table
+from starmart.sinks import Audit, ensure_parted, read_parted, upsert_parts
+
+USERS = table("users", "id int, level string, ts bigint", pk="id", not_null="level")
+
+
+def users(spark, *made):
+    return spark.createDataFrame(list(made), "id int, level string, ts bigint")
+
+
+def test_an_upsert_rewrites_the_touched_parts_only(spark, folder, database):
+    name = f"{database}.users"
+    for _ in range(2):
+        ensure_parted(spark, USERS, folder, name)
+    assert rows(read_parted(spark, USERS, name)) == []
+    first = [(i, "free", 10) for i in range(40)]
+    assert upsert_parts(users(spark, *first), USERS, folder, "ts", name, 8) == 8
+    before = {f.rsplit("/", 2)[1]: f for f in spark.table(name).inputFiles()}
+    assert upsert_parts(users(spark, (3, "paid", 20), (3, "late", 5), (99, "new", 1)), USERS, folder, "ts", name, 8) <= 2
+    want = sorted([(i, "free", 10) for i in range(40) if i != 3] + [(3, "paid", 20), (99, "new", 1)], key=repr)
+    assert rows(read_parted(spark, USERS, name)) == want
+    after = {f.rsplit("/", 2)[1]: f for f in spark.table(name).inputFiles()}
+    assert sum(before[p] == after[p] for p in before) >= 6
+    assert all(os.path.exists(f.removeprefix("file:").replace("//", "/")) for f in before.values())  # for earlier readers
+    assert upsert_parts(users(spark, (1, "x", 1)).limit(0), USERS, folder, "ts", name, 8) == 0
+
+
+def test_a_failing_batch_points_nowhere(spark, folder, database):
+    name = f"{database}.users"
+    ensure_parted(spark, USERS, folder, name)
+    upsert_parts(users(spark, (1, "free", 1), (2, "free", 1)), USERS, folder, "ts", name, 4, Audit())
+    files = sorted(spark.table(name).inputFiles())
+    with pytest.raises(QualityError):
+        upsert_parts(users(spark, (1, None, 9)), USERS, folder, "ts", name, 4, Audit())
+    assert sorted(spark.table(name).inputFiles()) == files
+    assert rows(read_parted(spark, USERS, name)) == [(1, "free", 1), (2, "free", 1)]
