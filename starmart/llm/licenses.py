@@ -126,7 +126,8 @@ def scan(docs: DataFrame, rules: tuple[Signature, ...] | None = None) -> DataFra
     phrases, smallest and largest start (null if none); ``base_labels`` and ``labels``: distinct,
     sorted, comma-joined, of base phrases and of all detections not suppressed together with the base
     ones; ``score``: the confidence of the surest detection, 0 if none; ``n_detections``.
-    Null texts count as empty. Repeated rows are scanned alike, other columns ignored.
+    Null texts count as empty. Repeated rows are scanned alike, other columns ignored. An empty table gives
+    no rows. A text of any length is one row of its hits, scanned whole.
     """
     rules = signatures() if rules is None else tuple(rules)
     rows = scan_rows(docs, rules)

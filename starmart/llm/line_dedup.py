@@ -96,7 +96,8 @@ def remove_boilerplate(
     Every line standing on ``min_sites`` sites or more goes, wherever it stands; the others and
     blank lines stay in order. Returns ``doc_id``, ``text``, ``n_lines`` (not blank) and
     ``n_removed``, one row per input row. Null texts stay null with no lines; a text that loses all
-    lines becomes empty; repeated rows are treated alike; other columns are ignored.
+    lines becomes empty; repeated rows are treated alike; other columns are ignored. An empty table
+    gives no rows. A very long text is a row per line between the passes; its lines' numbers come together.
     """
     lines = site_lines(docs, site_col)
     keys = small(boilerplate(lines, None, min_sites, band))

@@ -106,7 +106,8 @@ def mixing_plan(
 
     A null text has size 0; null is a source of its own; a source without words has target 0 and
     none of its rows is taken. Rows with one ``doc_id`` share their chance, so repeated rows are taken
-    alike, and reruns agree. Columns of these names in ``docs`` are replaced.
+    alike, and reruns agree. Columns of these names in ``docs`` are replaced, others kept whatever their
+    names. An empty table gives no rows; long texts are counted where they are and never moved.
     """
     docs = docs.select(*[c for c in docs.columns if c not in ADDED])
     number = chance(F.col("doc_id"), F.col("text"), seed)

@@ -280,7 +280,8 @@ def digest(docs: DataFrame, model: bytes | None = None, ids: bool = False) -> Da
 
     ``doc_id``, ``n_tokens`` (with both marks), ``ids_sha256`` (ids as little-endian 32-bit numbers),
     ``decoded_sha256``, ``spans_tile_text`` (the spans follow each other from the first byte to the
-    last). Null texts count as empty.
+    last). Null texts count as empty and repeated rows are encoded alike; an empty table gives no rows; other
+    columns are ignored. The library takes a text whole: a very long one needs some forty bytes a token.
     """
     columns = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_tile_text boolean"
     columns += ", ids array<int>" if ids else ""

@@ -155,7 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Rankin
 def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` (1: good) of each row of ``docs``.
 
-    Null texts count as empty; repeated rows are scored alike; other columns are ignored.
+    Null texts count as empty; repeated rows are scored alike; other columns are ignored. An empty table
+    gives no rows. A very long text is held as its list of words while its features are taken.
     """
     root = package_root()
     parts = (ranking.mean, ranking.scale, ranking.weights, ranking.cut)

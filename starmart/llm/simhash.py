@@ -170,7 +170,8 @@ def near_duplicates(
     that differ in at most ``max_bits`` bits are linked (more than 4 need wider ``segments``); ``component_id`` is the smallest ``doc_id``
     reachable (null ids are passed over, and it is null if all are). The row with that id
     stays, of several the one with the smallest ``text_key``.
-    Rows with the same id and the same text are kept alike. Other columns are ignored.
+    Rows with the same id and the same text are kept alike. Other columns are ignored. An empty table
+    gives no rows; the shingles of a long text are hashed in blocks.
     """
     rows = stored(fingerprints(docs, words), "fingerprints")
     first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")

@@ -183,7 +183,8 @@ class UrlFilter:
         """``id_col``, ``host``, ``path``, ``rule``, ``verdict`` and ``score`` of each row.
 
         Null urls and those without ``://`` have empty host and path: no rule fits them and the
-        classifier judges an empty string. Repeated rows are judged alike; other columns ignored.
+        classifier judges an empty string. Repeated rows are judged alike; other columns ignored. An empty
+        table gives no rows; a very long url has as many grams as characters, held by one row.
         """
         parts = pages.select(F.col(id_col), *url_parts(F.col(url_col)))
         scored = self._scored(parts)

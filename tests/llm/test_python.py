@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 import struct
 from collections import Counter
 from itertools import combinations
@@ -386,6 +388,54 @@ def test_ranking_never_sees_the_held_out_fold(graded):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
 
 
+def plain_features(text):
+    """The features as the docstrings of the operator describe them, character by character."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not words:
+        return [0.0] * ranking.FEATURES
+    n, low = len(words), ["".join(c.lower() if c < "\x80" else c for c in w) for w in words]
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    letters = sum(c > "\x7f" or c.isalpha() for c in text)
+    upper = sum(a != b for a, b in zip(text, text.lower())) if len(text.lower()) == len(text) else 0
+    sizes = [len(w.encode()) for w in words]
+    mean = sum(sizes) / n
+    windows = {tuple(low[i : i + 3]) for i in range(n - 2)}
+    return [
+        math.log1p(n), math.log1p(10 * symbols / n), upper / (letters or 1), math.log1p(10 * text.count("!") / n),
+        math.log1p(10 * text.count("|") / n), len(set(low)) / n, sum(a == b for a, b in zip(low, low[1:])) / n,
+        (max(0, n - 2) - len(windows)) / max(1, n - 2), 1 - len(set(lines)) / len(lines), mean,
+        math.sqrt(sum((x - mean) ** 2 for x in sizes) / n), sum(c in "0123456789" for c in text) / len(text.encode()),
+        len(lines) / n, sum(w[-1] in ".,;:!?" for w in words) / n, (letters or 1) / len(text),
+        sum(x <= 3 for x in sizes) / n, float(symbols > 0), float(n < 20),
+    ]
+
+
+def test_quality_scores_like_plain_python(graded, docs):
+    df, labels = graded
+    texts = [t for t in TEXTS if t.strip()] + ["Shout! SHOUT| 12 a a a\n\nend. end.\nend. end."]
+    for text in texts:
+        assert ranking.text_features(text) == pytest.approx(plain_features(text)), text
+    model = ranking.train(df, labels)
+    got = {r["doc_id"]: r for r in ranking.score(docs(list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        z = [max(-6.0, min(6.0, (x - m) / s)) for x, m, s in zip(plain_features(text), model.mean, model.scale)]
+        want = 1 / (1 + math.exp(model.cut - sum(a * b for a, b in zip(z, model.weights))))
+        assert got[i]["score"] == pytest.approx(want, abs=1e-9) and got[i]["predicted"] == (got[i]["score"] >= 0.5)
+
+
+def test_the_cut_leaves_as_many_below_as_are_poor():
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(300, ranking.FEATURES))
+    good = (x[:, 2] + 0.3 * draw.normal(size=300) > 0.4).astype(int)
+    model = ranking.fit_ranking(x, good)
+    raw = sorted(model.raw(x))
+    assert sum(r < model.cut for r in raw) == (good == 0).sum()
+    # Preference pairs are met: a better text scores higher nearly always.
+    better, worse = model.raw(x[good == 1]), model.raw(x[good == 0])
+    assert (better[:, None] > worse[None, :]).mean() > 0.95
+
+
 def test_batches_without_rows():
     empty = pa.RecordBatch.from_arrays(
         [pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.string())], ["doc_id", "text", "lang"]
