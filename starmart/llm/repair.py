@@ -209,14 +209,18 @@ def damaged(conversations: DataFrame) -> DataFrame:
     return rows.filter("kind <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("time")).drop("time")
 
 
-def _coded(ordered: DataFrame) -> DataFrame:
-    """``conv_id``, ``turn``, ``pos``, ``code`` and the ``fault`` of each row, without its text; written."""
+def _outlines(given: DataFrame) -> DataFrame:
+    """What the parse needs of each row instead of its text."""
     last = F.rtrim(F.translate("text", "\t\n\x0b\x0c\r", "     "))
-    rows = ordered.select(
-        "conv_id", "turn", "role", "number", F.sha2("text", 256).alias("digest"),
+    return given.select(
+        "conv_id", "turn", "role", "tie", F.unhex(F.sha2("text", 256)).alias("digest"),
         (last == "").alias("blank"), F.right(last, F.lit(1)).isin(".", "!", "?").alias("whole"),
     )
-    rows = stored(rows, "rows-without-text")
+
+
+def _coded(ordered: DataFrame) -> DataFrame:
+    """``conv_id``, ``turn``, ``pos``, ``code`` and the ``fault`` of each numbered row; written."""
+    rows = stored(ordered, "numbered-rows")
     starts = rows.groupBy(F.col("conv_id").alias("conv")).agg(F.min("number").alias("start"))
     # Only texts that a conversation repeats are joined.
     seen = rows.groupBy(F.col("conv_id").alias("other"), F.col("role").alias("as"), F.col("digest").alias("same")).agg(
@@ -295,8 +299,10 @@ def hashed_batches(batches: Iterator[pa.RecordBatch], key: pa.DataType) -> Itera
         yield out([conv], [lines.end()])
 
 
-def _hashes(ordered: DataFrame, found: DataFrame) -> DataFrame:
-    """``conv_id`` and ``repaired_sha256``: a conversation's text passes one task in order, in batches."""
+def _hashes(given: DataFrame, found: DataFrame) -> DataFrame:
+    """``conv_id`` and ``repaired_sha256``: a conversation's text passes one task in order, in batches.
+
+    The order is that of the numbers, so they need not be joined with the text, which is shuffled once."""
     root = package_root()
 
     def run(batches):
@@ -310,10 +316,12 @@ def _hashes(ordered: DataFrame, found: DataFrame) -> DataFrame:
             yield from repair.hashed_batches(chain([first], batches), first.schema.field("conv_id").type)
 
     nothing = F.lit(None).cast("string")
-    leads = found.select("conv_id", F.lit(-1).cast("bigint").alias("number"), "audit", nothing.alias("role"), nothing.alias("text"))
-    rows = ordered.select("conv_id", "number", nothing.alias("audit"), "role", "text")
-    sorted_rows = leads.unionByName(rows).repartition("conv_id").sortWithinPartitions("conv_id", "number")
-    kind = ordered.schema["conv_id"].dataType.simpleString()
+    rows = given.select("conv_id", F.lit(1).alias("rank"), "turn", "role", "tie", nothing.alias("audit"), "text")
+    blank = {c: nothing.cast(rows.schema[c].dataType).alias(c) for c in ("turn", "role", "tie", "text")}
+    leads = found.select("conv_id", F.lit(0).alias("rank"), "audit", *blank.values())
+    dealt = leads.unionByName(rows).repartition("conv_id")
+    sorted_rows = dealt.sortWithinPartitions("conv_id", "rank", "turn", "role", "tie")
+    kind = given.schema["conv_id"].dataType.simpleString()
     return sorted_rows.mapInArrow(run, f"conv_id {kind}, repaired_sha256 string")
 
 
@@ -332,7 +340,7 @@ def repair(conversations: DataFrame, originals: DataFrame | None = None) -> Data
     given = conversations.select(
         "conv_id", "turn", _or_space(F.col("role")).alias("role"), _or_space(F.col("text")).alias("text")
     ).withColumn("tie", F.xxhash64("text"))
-    ordered = add_id(given, "sequence", "number", start=0, order_by=["conv_id", "turn", "role", "tie"])
+    ordered = add_id(_outlines(given), "sequence", "number", start=0, order_by=["conv_id", "turn", "role", "tie"])
     coded = _coded(ordered)
     found = stored(parsed(coded.select("conv_id", "pos", "code")), "parsed")
     counts = coded.groupBy("conv_id").agg(
@@ -340,7 +348,7 @@ def repair(conversations: DataFrame, originals: DataFrame | None = None) -> Data
         *[F.count_if(F.coalesce(F.col("fault") == f, F.lit(False))).alias(f) for f in ("blank", "duplicate", "truncated")],
     )
     out = (conversations if originals is None else originals).select("conv_id").distinct()
-    for part in (counts, found, _hashes(ordered, found)):
+    for part in (counts, found, _hashes(given, found)):
         part = part.withColumnRenamed("conv_id", "of")
         out = out.join(part, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
     longs = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
