@@ -2,8 +2,8 @@
 
 Base rules count words, symbols, repeated lines and repeated word windows. Two public vocabularies then
 measure the text: one with byte fallback gives characters per token, the share of byte tokens and
-token entropy; a byte-level one for many languages gives characters per token of its words and the
-share of tokens that are no whole characters. A text outside the band of its language (of its script where the language is missing or rare) is rejected; without either
+token entropy; a byte-level one for many languages gives, over the text's different words,
+characters per token and the share of tokens that are no whole characters. A text outside the band of its language (of its script where the language is missing or rare) is rejected; without either
 band the method rejects nothing. Bands are quantiles over all documents of the language or script.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from pathlib import Path
 from typing import NamedTuple
@@ -69,10 +70,9 @@ for _name, _ranges in SCRIPTS.items():
 SPACES = b" \t\n\x0b\x0c\r"
 # Bytes or characters of a text that are split or counted at once.
 CHUNK = 1 << 20
-WORD_RANKS = "byte_bpe_multi_50k.tiktoken"
-# Words of which a worker remembers the tokens, and characters of a word that are measured at once.
-REMEMBERED = 1 << 18
-LONGEST = 64
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+# Characters of a run without white space that the byte-level vocabulary is given at once.
+LONGEST = 1024
 
 
 class Band(NamedTuple):
@@ -91,7 +91,7 @@ BANDS = (
     Band("chars_per_token", 4.0, 0.05, True, True),
     Band("byte_share", 4.0, 0.0, False, True, 0.05),
     Band("entropy", 4.0, 0.05, True, False),
-    Band("chars_per_word_token", 4.0, 0.05, True, True),
+    Band("chars_per_byte_token", 4.0, 0.05, True, True),
     Band("partial_share", 4.0, 0.0, False, True, 0.05),
 )
 
@@ -105,7 +105,9 @@ def word_numbers(data: bytes) -> tuple[np.ndarray, list[bytes]]:
         end = len(data) if end < 0 else end
         # Split on bytes: exactly the six white-space characters.
         words = data[start:end].split()
-        parts.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words)))
+        new = dict.fromkeys(words) if not numbers else [w for w in dict.fromkeys(words) if w not in numbers]
+        numbers.update(zip(new, range(len(numbers), len(numbers) + len(new))))
+        parts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
         start = end
     return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), list(numbers)
 
@@ -131,27 +133,28 @@ def repeated_words(ids: np.ndarray, distinct: int) -> int:
     return int(covered.sum())
 
 
-def counted(text: str) -> tuple[tuple[int, int, int, int, int], list[bytes], np.ndarray]:
-    """Words, their code points, symbols, repeated lines, words in repeated windows of three; the
-    different words and how often each occurs."""
+def counted(text: str) -> tuple[tuple[int, int, int, int, int], list[bytes]]:
+    """Words, their code points, symbols, repeated lines, words in repeated windows of three; and the
+    different words."""
     data = text.encode()
     ids, words = word_numbers(data)
     symbols = len(data) - len(data.translate(None, SYMBOLS))
     chars = len(text) - (len(data) - len(data.translate(None, SPACES)))
     lines = [x for x in data.split(b"\n") if x.strip()]
     base = (len(ids), chars, symbols, len(lines) - len(set(lines)), repeated_words(ids, len(words)))
-    return base, words, np.bincount(ids, minlength=len(words))
+    return base, words
 
 
 def base_counts(text: str) -> tuple[int, int, int, int, int]:
     return counted(text)[0]
 
 
-class WordVocabulary:
-    """Tokens of single words under a byte-level vocabulary, which never joins words.
+class ByteVocabulary:
+    """Tokens of the different words of a text under a byte-level vocabulary.
 
-    A word is measured as it stands in a line, with a space before it; what was found is remembered for
-    up to ``REMEMBERED`` words. A word longer than ``LONGEST`` characters is measured in parts.
+    The words stand in a line, each once, so that a text is measured by what it is made of and not by what
+    it repeats; lines are taken in chunks that end before a space. A run without white space that is longer than
+    ``LONGEST`` characters is cut into such parts, as merging takes long in very long runs.
     """
 
     def __init__(self, ranks: bytes):
@@ -159,32 +162,27 @@ class WordVocabulary:
         import tiktoken
 
         parsed = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-        self.tokens = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=parsed, special_tokens={})
-        self.partial = {i for b, i in parsed.items() if not _is_text(b)}
-        self.known: dict[bytes, tuple[int, int]] = {}
-
-    def _measure(self, word: bytes) -> tuple[int, int]:
-        text = word.decode()
-        parts = [text[i : i + LONGEST] for i in range(0, len(text), LONGEST)]
-        ids = [i for p in parts for i in self.tokens.encode_ordinary(" " + p)]
-        return len(ids), sum(i in self.partial for i in ids)
-
-    def counts(self, words: list[bytes], times: np.ndarray) -> tuple[int, int]:
-        """Tokens, and those that are no whole characters, of words that occur so often."""
-        known, found = self.known, []
-        for word in words:
-            measure = known.get(word)
-            if measure is None:
-                measure = self._measure(word)
-                if len(word) <= LONGEST:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[word] = measure
-            found.append(measure)
-        if not found:
-            return 0, 0
-        tokens, partial = times @ np.array(found, np.int64)
-        return int(tokens), int(partial)
+        self.tokens = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=parsed, special_tokens={})
+        self.partial = np.zeros(max(parsed.values()) + 1, bool)
+        self.partial[[i for b, i in parsed.items() if not _is_text(b)]] = True
+
+    def counts(self, words: list[bytes]) -> tuple[int, int, int]:
+        """Characters of the line, its tokens, and those that are no whole characters."""
+        text = b" ".join(words).decode()
+        if max(map(len, words), default=0) > LONGEST:
+            text = _RUN.sub(lambda m: m.group() + " ", text)
+        total = partial = start = 0
+        while start < len(text):
+            end = text.find(" ", start + CHUNK)
+            end = len(text) if end < 0 else end
+            ids = self.tokens.encode_ordinary(text[start:end])
+            total += len(ids)
+            partial += int(self.partial[ids].sum())
+            start = end
+        return len(text), total, partial
+
+
+_RUN = re.compile(r"[^\x20\x09-\x0D]{%d}(?=[^\x20\x09-\x0D])" % LONGEST)
 
 
 def _is_text(data: bytes) -> bool:
@@ -195,22 +193,22 @@ def _is_text(data: bytes) -> bool:
     return True
 
 
-def word_ranks(path: str | None = None) -> bytes:
-    """The file of the vocabulary that measures words, by default the public one for many languages; read
-    on the driver and sent along with the task."""
+def byte_ranks(path: str | None = None) -> bytes:
+    """The file of the byte-level vocabulary, by default the public one for many languages; read on the
+    driver and sent along with the task."""
     import public_tokenizers
 
-    return Path(path or public_tokenizers.path(WORD_RANKS)).read_bytes()
+    return Path(path or public_tokenizers.path(BYTE_RANKS)).read_bytes()
 
 
-_VOCABULARIES: dict[bytes, WordVocabulary] = {}
+_VOCABULARIES: dict[bytes, ByteVocabulary] = {}
 
 
-def vocabulary(ranks: bytes) -> WordVocabulary:
+def vocabulary(ranks: bytes) -> ByteVocabulary:
     """The worker's vocabulary, made once per process."""
     key = hashlib.sha256(ranks).digest()
     if key not in _VOCABULARIES:
-        _VOCABULARIES[key] = WordVocabulary(ranks)
+        _VOCABULARIES[key] = ByteVocabulary(ranks)
     return _VOCABULARIES[key]
 
 
@@ -250,21 +248,21 @@ def script(text: str) -> str:
 
 
 def measure_batches(batches: Iterator[pa.RecordBatch], model: bytes, ranks: bytes) -> Iterator[pa.RecordBatch]:
-    enc, by_word = encoder(model), vocabulary(ranks)
+    enc, by_bytes = encoder(model), vocabulary(ranks)
     names = ["doc_id", "lang", "script", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     names += ["n_tokens", "chars_per_token", "byte_share", "entropy"]
-    names += ["word_tokens", "chars_per_word_token", "partial_share"]
+    names += ["byte_tokens", "chars_per_byte_token", "partial_share"]
     for batch in batches:
         rows = []
         for text, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             ids = enc.ids(text)
             n = len(ids)
             share = float(enc.is_byte[ids].sum()) / n if n else 0.0
-            base, words, times = counted(text)
-            tokens, partial = by_word.counts(words, times)
+            base, words = counted(text)
+            chars, tokens, partial = by_bytes.counts(words)
             measured = (n, len(text) / n if n else 0.0, share, block_entropy(ids))
-            by_words = (tokens, base[1] / tokens if tokens else 0.0, partial / tokens if tokens else 0.0)
-            rows.append((lang or None, script(text), *base, *measured, *by_words))
+            again = (tokens, chars / tokens if tokens else 0.0, partial / tokens if tokens else 0.0)
+            rows.append((lang or None, script(text), *base, *measured, *again))
         kinds = [*[pa.string()] * 2, *[pa.int64()] * 6, *[pa.float64()] * 3, pa.int64(), *[pa.float64()] * 2]
         columns = list(zip(*rows)) if rows else [[]] * len(kinds)
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
@@ -274,7 +272,7 @@ def measure_batches(batches: Iterator[pa.RecordBatch], model: bytes, ranks: byte
 def measures(docs: DataFrame, model: bytes | None = None, ranks: bytes | None = None) -> DataFrame:
     """Base counts and token measures of each row, its ``lang`` (null if empty) and its ``script``.
     Null texts count as empty."""
-    model, ranks = model or model_bytes(), ranks or word_ranks()
+    model, ranks = model or model_bytes(), ranks or byte_ranks()
     root = package_root()
 
     def run(batches):
@@ -289,7 +287,7 @@ def measures(docs: DataFrame, model: bytes | None = None, ranks: bytes | None =
     key = docs.schema["doc_id"].dataType.simpleString()
     counts = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
     tokens = "n_tokens bigint, chars_per_token double, byte_share double, entropy double, "
-    tokens += "word_tokens bigint, chars_per_word_token double, partial_share double"
+    tokens += "byte_tokens bigint, chars_per_byte_token double, partial_share double"
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
     return texts.mapInArrow(run, f"doc_id {key}, lang string, script string, {counts}, {tokens}")
 

@@ -39,7 +39,7 @@ def op2_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents."""
     rated = fertility.rate(table(spark, sf_dir, "documents"))
     contract = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    more = ["n_tokens", "chars_per_token", "byte_share", "entropy", "chars_per_word_token", "partial_share"]
+    more = ["n_tokens", "chars_per_token", "byte_share", "entropy", "chars_per_byte_token", "partial_share"]
     return rated.select(*contract, "base_failed", "kept", *more)
 
 

@@ -139,23 +139,33 @@ def test_long_texts_are_counted_in_chunks(monkeypatch):
     assert (fertility.base_counts(text), fertility.script(text)) == whole
 
 
-def test_words_have_the_tokens_of_the_line(monkeypatch):
-    vocabulary = fertility.WordVocabulary(fertility.word_ranks())
-    text = "Some words, naïve words! 漢字 x9$q%7 don't 🙂 " + "long" * 40 + "漢字" * 50
-    monkeypatch.setattr(fertility, "REMEMBERED", 3)
-    monkeypatch.setattr(fertility, "LONGEST", 1000)
-    base, words, times = fertility.counted(text)
-    ids = vocabulary.tokens.encode_ordinary(" " + text)
-    partial = 0
-    for i in ids:
-        try:
-            vocabulary.tokens.decode_single_token_bytes(i).decode()
-        except UnicodeDecodeError:
-            partial += 1
-    assert vocabulary.counts(words, times) == vocabulary.counts(words, times) == (len(ids), partial) and partial > 0
-    assert vocabulary.counts([], times[:0]) == (0, 0)
-    monkeypatch.setattr(fertility, "LONGEST", 8)
-    assert vocabulary.counts(words, times)[0] >= base[0]
+def test_byte_tokens_are_the_librarys(monkeypatch):
+    vocabulary = fertility.ByteVocabulary(fertility.byte_ranks())
+    text = "Some words,  naïve words!\n漢字 x9$q%7 don't 🙂 " + "long" * 40 + " 漢字" * 50
+
+    def want(part):
+        ids, partial = vocabulary.tokens.encode_ordinary(part), 0
+        for i in ids:
+            try:
+                vocabulary.tokens.decode_single_token_bytes(i).decode()
+            except UnicodeDecodeError:
+                partial += 1
+        return len(ids), partial
+
+    def counts(text):
+        line = " ".join(dict.fromkeys(text.split()))
+        found = vocabulary.counts(fertility.counted(text)[1])
+        assert found[0] == len(line) or max(map(len, text.encode().split())) > fertility.LONGEST
+        return found[1:], line
+
+    got, line = counts(text)
+    assert got == want(line) and got[1] > 0
+    assert vocabulary.counts([]) == (0, 0, 0)
+    run = "漢字" * 2000
+    assert counts(run + " end")[0] == want(" ".join(run[i : i + 1024] for i in range(0, 4000, 1024)) + " end")
+    monkeypatch.setattr(fertility, "CHUNK", 5)
+    got, line = counts("one two three one four words two are here and there again")
+    assert got == want(line)
 
 
 def test_script():
@@ -440,7 +450,7 @@ def test_batches_without_rows():
     empty = pa.RecordBatch.from_arrays(
         [pa.array([], pa.int64()), pa.array([], pa.string()), pa.array([], pa.string())], ["doc_id", "text", "lang"]
     )
-    assert list(fertility.measure_batches([empty], pieces.model_bytes(), fertility.word_ranks()))[0].num_rows == 0
+    assert list(fertility.measure_batches([empty], pieces.model_bytes(), fertility.byte_ranks()))[0].num_rows == 0
 
 
 def test_two_wide_segments_find_the_same(spark):

@@ -65,8 +65,7 @@ def test_op2_verdict(spark):
 
     sf = "/root/testdata/sf0.01"
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    by_word = fertility.vocabulary(fertility.word_ranks()).tokens
-    partial = fertility.vocabulary(fertility.word_ranks()).partial
+    by_bytes = fertility.vocabulary(fertility.byte_ranks())
     docs = duckdb.sql(f"SELECT doc_id, text, lang FROM '{sf}/documents.parquet'").fetchall()
     got = {r["doc_id"]: r for r in LLM_QUERIES["op2_fertility"](spark, sf).collect()}
     measured, passed = {}, defaultdict(list)
@@ -76,13 +75,15 @@ def test_op2_verdict(spark):
         blocks[-1] = ids[(len(blocks) - 1) * 256 :]
         bits = sum(-c * math.log2(c / len(b)) for b in blocks for c in Counter(b).values())
         words = text.replace("\x0b", " ").encode().split()
-        pieces = [i for w in words for k in range(0, len(w.decode()), 64) for i in by_word.encode_ordinary(" " + w.decode()[k : k + 64])]
+        assert max(map(len, words), default=0) <= fertility.LONGEST
+        line = b" ".join(dict.fromkeys(words)).decode()
+        again = by_bytes.tokens.encode_ordinary(line)
         measured[doc_id] = {
             "chars_per_token": len(text) / max(1, len(ids)),
             "byte_share": sum(sp.is_byte(i) for i in ids) / max(1, len(ids)),
             "entropy": bits / max(1, len(ids)),
-            "chars_per_word_token": sum(len(w.decode()) for w in words) / max(1, len(pieces)),
-            "partial_share": sum(i in partial for i in pieces) / max(1, len(pieces)),
+            "chars_per_byte_token": len(line) / max(1, len(again)),
+            "partial_share": sum(bool(by_bytes.partial[i]) for i in again) / max(1, len(again)),
             "n": len(ids),
         }
         if not got[doc_id]["base_failed"]:
