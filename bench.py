@@ -56,6 +56,10 @@ HEADLINE = (
     "stream_users",
     "warehouse_load",
     "lake_load",
+    "songplays_tolerant",
+    "new_by_filter",
+    "user_level_history",
+    "level_at_event",
 )
 RUNS = 3
 
