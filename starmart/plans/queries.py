@@ -343,7 +343,7 @@ def time_dim_seconds(spark, sf_dir):
 @query
 def new_by_key(spark, sf_dir):
     e = events(spark, sf_dir)
-    return anti_new(e, e.filter(SPLIT), "event_id")
+    return anti_new(e, e.filter(SPLIT), "event_id", unique_target=True)
 
 
 @query
