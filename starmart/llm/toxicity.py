@@ -23,9 +23,6 @@ from starmart.llm.learn import fit_logistic, sigmoid
 CATEGORIES = ("toxic_junk", "toxic_prose", "toxic")
 # Labelled rows that the models are fitted on, at most; chosen by a hash of the id.
 TRAIN_ROWS = 8000
-# Labelled texts with more different words and beginnings than this are not used for fitting, so that the
-# sample has a bound in bytes too.
-TRAIN_WORDS = 1 << 15
 BUCKETS = 1 << 22
 # Words kept per model, by how much their share differs between the classes.
 FEATURES = 400
@@ -156,7 +153,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -
     hashed = found.select(
         "doc_id", "quality", "toxic", buckets(F.coalesce("text", F.lit(""))).alias("buckets")
     )
-    hashed = hashed.filter(F.octet_length("buckets") <= 4 * TRAIN_WORDS)
     return hashed.orderBy(*order, "buckets").limit(limit).select("quality", "toxic", "buckets")
 
 
