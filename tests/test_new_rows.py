@@ -122,6 +122,15 @@ def test_reserved_ids_skip_what_others_took(spark, folder):
     assert add_reserved_id(df.limit(0), folder, block_size=10).count() == 0
 
 
+def test_thousands_of_blocks_taken_in_turns(spark, folder, monkeypatch):
+    mine = list(range(0, 12_000, 2))
+    monkeypatch.setattr("starmart.operators.id_ranges.reserve", lambda spark, ledger, rows, size: mine)
+    got = add_reserved_id(spark.range(60_000).withColumnRenamed("id", "n"), folder, block_size=10)
+    assert len(got._jdf.queryExecution().analyzed().toString()) < 100_000
+    wanted = spark.range(60_000).selectExpr("20 * (id div 10) + id % 10 + 1 id")
+    assert got.select("id").exceptAll(wanted).count() == 0 and got.distinct().count() == 60_000
+
+
 def test_interleaved_loads(spark, folder):
     spec = table("f", "id bigint, t int", pk="id", not_null="t")
     read_target(spark, f"{folder}/fact", spec)
