@@ -146,6 +146,8 @@ def load_fact(
         repeated = spark.read.schema(twice.schema).parquet(f"{scratch}/repeated")
         if not has_rows(repeated):
             return hashed
+        # No hash is null. Said here, both joins below read and deal the same rows, which Spark then does once.
+        hashed, repeated = (df.filter(F.col(id_column).isNotNull()) for df in (hashed, repeated))
         once = hashed.join(repeated, id_column, "left_anti")
         # Copies are counted, which is combined before the shuffle, and written out again.
         counted = hashed.join(repeated, id_column, "left_semi").groupBy(*hashed.columns).agg(F.count(F.lit(1)).alias("__n"))

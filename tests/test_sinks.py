@@ -193,3 +193,23 @@ def test_ids_go_on_over_loads_and_copies_get_their_own(spark, folder):
     assert got.count() == 3 and got.select("id").distinct().count() == 3
     with pytest.raises(ValueError, match="may be null"):
         load_fact(first, hashed, spec, ["t", "v"])
+
+
+def test_rows_with_copies_are_shuffled_once(spark, folder, conf, monkeypatch):
+    from starmart.sinks import loads
+
+    conf(**{"spark__sql__adaptive__enabled": "false", "spark__sql__autoBroadcastJoinThreshold": "-1"})
+    spec = table("f", "id bigint, t int, v string", pk="id", not_null="t")
+    batch = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "t int, v string")
+    plans, write = [], loads.write_observed
+
+    def watched(rows, path, *args, **options):
+        if not path.endswith("/batch"):
+            plans.append(plan(rows))
+        return write(rows, path, *args, **options)
+
+    monkeypatch.setattr(loads, "write_observed", watched)
+    load_fact(batch, folder, spec, ["t"])
+    # The rows, the hashes that occur twice and the target's keys are dealt once each, though read twice.
+    assert plans[0].count("ReusedExchange") == 3
+    assert read_target(spark, folder, spec).select("id").distinct().count() == 5
