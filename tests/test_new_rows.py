@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan, rows
 from starmart import files
-from starmart.operators import add_reserved_id, anti_new, enrich_near, reserve
+from starmart.operators import add_reserved_id, anti_new, enrich_near, near_match, reserve
 from starmart.schemas import table
 from starmart.sinks import add_keys, append_bucketed, filtered_anti_new, load_fact, new_for_bucketed, read_sketch, read_target
 from starmart.sinks import key_filter
@@ -93,6 +93,18 @@ def test_tolerance_like_a_nested_loop(spark, salts, tolerance):
     assert [repr(r) for r in rows(got)] == sorted(repr(r) for r in want)
 
 
+def test_numbers_two_tolerances_apart_seldom_meet(spark):
+    """On a grid that wide a number is compared with one neighbour at most, not with both."""
+    grid = spark.range(2_000).selectExpr("900.0d + id / 10.0d x")
+    bins = grid.select("x", F.explode(near_match._reached(F.col("x"), 0.05)).alias("b"))
+    own = grid.select(F.col("x").alias("y"), near_match._bin(F.col("x"), 0.05).alias("b"))
+    met = bins.join(own, "b")
+    assert met.filter("x = y").count() == 2_000 and met.count() <= 4_000
+    far = spark.sql("select 1d * (1L << 45) x union all select 1e308d union all select double('nan') union all select null")
+    sizes = far.select(F.size(near_match._reached(F.col("x"), 1.0)).alias("n"))
+    assert [r["n"] for r in sizes.collect()] == [5] * 4
+
+
 def test_tolerance_plan_and_arguments(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     df = spark.createDataFrame([("a", 1.0)], "k string, x double")
