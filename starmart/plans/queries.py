@@ -109,6 +109,8 @@ SPLIT = "ts < timestamp_ntz'2024-01-15 00:00:00'"
 SPLIT_NOON = "ts < timestamp_ntz'2024-01-15 12:00:00'"
 SPLIT_MS = 1_705_276_800_000
 ONE_DAY = date(2024, 1, 3)
+# Files of daily visits are cut for several tasks to write and read them.
+DAILY_FILE_ROWS = 250_000
 
 VISIT_SPEC = table_spec(
     "visits",
@@ -972,14 +974,16 @@ def stream_seconds(spark, sf_dir):
 
 
 def _daily_visits(spark, sf_dir):
-    """A stream of three files in order of time, in which each file but the first repeats the one before."""
+    """A stream of three arrivals in order of time, of which each but the first repeats the one before."""
     raw = work_dir(spark, "visits-json")
     days = visits(spark, sf_dir).filter(F.col("ts").isNotNull())
     thirds = [F.dayofmonth("day") <= 10, F.dayofmonth("day").between(11, 20), F.dayofmonth("day") > 20]
+    # Each arrival is as many files, by the rows of the whole, and they are taken together.
+    n_files = 1 + events(spark, sf_dir).count() // DAILY_FILE_ROWS
     for k, third in enumerate(thirds):
         part = days.filter(third | thirds[k - 1] if k else third).select(*VISIT_SPEC.columns)
-        _put_json(spark, part, f"{raw}/{k}", 1)
-    stream = recipes.plays(read_json_stream(spark, raw, VISIT_SPEC, files_per_trigger=1, corrupt="drop"))
+        _put_json(spark, part, f"{raw}/{k}", n_files)
+    stream = recipes.plays(read_json_stream(spark, raw, VISIT_SPEC, files_per_trigger=n_files, corrupt="drop"))
     return stream.select(epoch_ms_to_ts("ts").alias("start_time"), "userId")
 
 

@@ -7,6 +7,7 @@ from starmart import files
 from starmart.plans import bindings, queries
 from starmart.schemas import STAGING_EVENTS
 from starmart.sources import read_json
+from conftest import rows
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +36,10 @@ def tables(spark, tmp_path_factory):
             F.lit(0.0).alias("l_discount"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
             F.expr("timestamp_ntz'1996-02-01 00:00:00'").alias("l_shipdate"),
         ),
+        "events": spark.range(120).select(
+            n.alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 30 as int), 0, 0, id div 60)").alias("ts"),
+            (n % 10).alias("user_id"), F.lit("view").alias("event_type"), F.lit(40.0).alias("value"), F.lit('{"k": 7}').alias("props"),
+        ),
     }
     for name, df in frames.items():
         df.write.parquet(f"{base}/{name}.parquet")
@@ -55,9 +60,9 @@ def joins_above(df, column):
 
 
 def test_lines_of_the_log_are_dealt_twice(spark, tables):
-    rows = bindings.log(spark, tables)
-    assert joins_above(rows, "l_orderkey") == 2
-    assert rows.count() == 400 and rows.columns == STAGING_EVENTS.columns
+    log = bindings.log(spark, tables)
+    assert joins_above(log, "l_orderkey") == 2
+    assert log.count() == 400 and log.columns == STAGING_EVENTS.columns
 
 
 def test_raw_json_is_packed(spark, tables):
@@ -84,3 +89,16 @@ def test_copies_lie_in_files_of_their_own_behind_the_rest(spark, tables, conf, n
     rest = {r[0] for r in named.filter("itemInSession <> 2").select("file").distinct().collect()}
     only_copies = set(age) - rest
     assert only_copies and max(age[f] for f in rest) < min(age[f] for f in only_copies)
+
+
+def test_an_arrival_of_daily_visits_is_several_files(spark, tables, monkeypatch):
+    monkeypatch.setattr(queries, "DAILY_FILE_ROWS", 25, raising=False)
+    put = []
+    monkeypatch.setattr(queries, "_put_json", lambda spark, rows, folder, n: put.append((folder, n)) or plain(spark, rows, folder, n))
+    got = queries.stream_seconds_keyed(spark, tables)
+    assert [n for _, n in put] == [5, 5, 5] and all(len(files.names(spark, f)) == 5 for f, _ in put)
+    wanted = spark.read.parquet(f"{tables}/events.parquet").selectExpr("date_trunc('second', ts)", "string(user_id)").distinct()
+    assert rows(got.select(F.col("start_time").cast("timestamp"), "userId")) == rows(wanted)
+
+
+plain = queries._put_json
