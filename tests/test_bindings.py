@@ -61,7 +61,8 @@ def joins_above(df, column):
 
 def test_lines_of_the_log_are_dealt_twice(spark, tables):
     log = bindings.log(spark, tables)
-    assert joins_above(log, "l_orderkey") == 2
+    assert joins_above(log, "l_orderkey") == joins_above(bindings.log(spark, tables, whole=True), "l_orderkey") == 2
+    assert rows(log) == rows(bindings.log(spark, tables, whole=True))
     assert log.count() == 400 and log.columns == STAGING_EVENTS.columns
 
 
