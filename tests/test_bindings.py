@@ -92,6 +92,35 @@ def test_copies_lie_in_files_of_their_own_behind_the_rest(spark, tables, conf, n
     assert only_copies and max(age[f] for f in rest) < min(age[f] for f in only_copies)
 
 
+def test_unknown_values_of_a_line_are_marked_as_before(spark, tables, tmp_path):
+    lines = spark.read.parquet(f"{tables}/lineitem.parquet")
+    n = F.col("l_partkey") % 4
+    odd = lines.withColumns({
+        "l_quantity": F.when(n == 0, 24.5).when(n == 1, 25.0).when(n == 2, float("nan")),
+        "l_linestatus": F.when(n < 2, "O").when(n == 2, "F"),
+        "l_returnflag": F.when(n == 1, "R").when(n < 3, "A"),
+        "l_extendedprice": F.when(n < 3, F.col("l_extendedprice") + 0.126),
+    })
+    for name in ("nation", "customer", "part", "orders"):
+        os.symlink(f"{tables}/{name}.parquet", f"{tmp_path}/{name}.parquet")
+    odd.write.parquet(f"{tmp_path}/lineitem.parquet")
+    level, method = F.when(F.col("l_quantity") >= 25, "paid").otherwise("free"), F.when(F.col("l_linestatus") == "O", "PUT").otherwise("GET")
+    page = F.when(F.col("l_returnflag") == "R", "Home").otherwise("NextSong")
+    second = F.floor(F.col("l_extendedprice") * 100 + 0.5) % 1000
+    wanted = odd.select(F.concat(F.lit("song "), "l_partkey"), level, method, page, second)
+    got = bindings.log(spark, str(tmp_path)).select("song", "level", "method", "page", F.col("ts") % 1000)
+    assert rows(got) == rows(wanted)
+
+
+def test_the_log_is_joined_once_for_both_streams(spark, tables, monkeypatch):
+    joined, raw, plain_log, plain_raw = [], [], queries.log, queries._log_with_copies
+    monkeypatch.setattr(queries, "log", lambda *a, **b: joined.append(1) or plain_log(*a, **b))
+    monkeypatch.setattr(queries, "_log_with_copies", lambda *a, **b: raw.append(plain_raw(*a, **b)) or raw[-1])
+    assert queries.stream_fact_again(spark, tables).count() == 500
+    # Each stream has files of its own, which are gone when it has read them.
+    assert len(joined) == 1 and len(raw) == 2 and not [p for p in raw if files.exists(spark, p)]
+
+
 def test_an_arrival_of_daily_visits_is_several_files(spark, tables, monkeypatch):
     monkeypatch.setattr(queries, "DAILY_FILE_ROWS", 25, raising=False)
     put = []

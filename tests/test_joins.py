@@ -174,3 +174,16 @@ def test_repeated_target_keys_are_combined_before_their_shuffle(spark, conf):
     assert "HashAggregate(keys=[k" in text
     assert rows(anti_new(batch, target, "k")) == [(i, i) for i in range(3, 10)]
     assert "HashAggregate(keys=[k" not in plan(anti_new(batch, target, "k", unique_target=True))
+
+
+def test_null_safe_target_keys_are_dealt_once(spark, conf):
+    """Combined keys lie where the join wants them: one shuffle of the target, one of the batch."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    batch = spark.createDataFrame([(1, None, NAN), (1, "a", 0.0), (None, None, 1.0), (2, None, -0.0)], "t int, s string, d double")
+    target = spark.createDataFrame([(1, None, NAN), (2, None, 0.0), (2, None, 0.0)], "t int, s string, d double")
+    assert rows(anti_new(batch, target, ["t", "s", "d"], nulls="equal").select("t", "s")) == [(1, "a"), (None, None)]
+    fresh = anti_new(batch, target, ["t", "s"], nulls="equal")
+    assert plan(fresh).count("Exchange hashpartitioning") == 2
+    assert rows(fresh.select("t", "s")) == [(1, "a"), (None, None)]
+    wider = target.withColumn("t", F.col("t").cast("bigint"))
+    assert rows(anti_new(batch, wider, ["t", "s"], nulls="equal")) == rows(fresh)

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -6,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starmart.schemas import DIM_USERS, FACT_SONGPLAYS, LAKE_SONGS, LAKE_SONGS_BY_ARTIST, table
-from starmart.session import work_dir
+from starmart.session import CLEANUP_CONF, dropping_shuffles, work_dir
 from starmart.sinks import (
     append,
     drop_table,
@@ -213,3 +214,44 @@ def test_rows_with_copies_are_shuffled_once(spark, folder, conf, monkeypatch):
     # The rows, the hashes that occur twice and the target's keys are dealt once each, though read twice.
     assert plans[0].count("ReusedExchange") == 3
     assert read_target(spark, folder, spec).select("id").distinct().count() == 5
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    sizes = {f.getName(): f.length() for f in map(found.apply, range(found.size()))}
+    # The one row of an EXISTS is left to the driver's garbage collection.
+    return {n for n, size in sizes.items() if n.startswith("shuffle_") and n.endswith(".data") and size > 200}
+
+
+def left_over(spark, before):
+    """Shuffle files that are still there after a while; Spark deletes them beside the work."""
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_a_load_leaves_no_shuffle_files(spark, folder, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    spec = table("plays", "id bigint, start_time timestamp, k int, v string", pk="id", not_null="start_time k", sort_by="start_time")
+    batch = spark.range(1000).selectExpr("cast(id % 500 as int) k", "timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 500) start_time", "'x' v")
+    spark._jvm.System.gc()
+    time.sleep(0.5)
+    before = shuffle_files(spark)
+    for inserted in (1000, 0):
+        done = load_fact(batch.repartition(3), f"{folder}/plays", spec, ["start_time", "k"], prune_by=["start_time"])
+        assert done.inserted == inserted
+    write_parquet(batch.groupBy("k").count(), f"{folder}/counts")
+    assert not left_over(spark, before)
+    assert spark.conf.get(CLEANUP_CONF) == "false"
+
+
+def test_the_own_setting_comes_back_with_the_last_user(spark):
+    with pytest.raises(KeyError), dropping_shuffles(spark):
+        with dropping_shuffles(spark):
+            pass
+        assert spark.conf.get(CLEANUP_CONF) == "true"
+        raise KeyError
+    assert spark.conf.get(CLEANUP_CONF) == "false"
