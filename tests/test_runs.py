@@ -138,6 +138,19 @@ def test_lake_loads_only_what_is_new(spark, raw, folder):
         ]
 
 
+def test_songs_are_looked_up_for_plays_that_are_not_loaded(spark, raw, folder, monkeypatch):
+    looked_up, plain = [], recipes.enrich
+    monkeypatch.setattr(recipes, "enrich", lambda log, *a, **b: looked_up.append(log.count()) or plain(log, *a, **b))
+    for _ in range(2):
+        run_lake(spark, raw, folder)
+    with open(f"{raw}/log-data/2018/11/c.json", "w") as f:
+        f.writelines(json.dumps(r) + "\n" for r in [play("7", MORNING + 8_000)] * 2)
+    report = {r.step: r.inserted for r in run_lake(spark, raw, folder).collect()}
+    assert looked_up == [6, 0, 2] and report["songplays"] == 2
+    plays = spark.read.schema(LAKE_SONGPLAYS.schema).parquet(f"{folder}/transformed/songplays")
+    assert plays.count() == plays.select("id").distinct().count() == 8
+
+
 def frames(spark):
     log = spark.createDataFrame([(*[r.get(c) for c in STAGING_EVENTS.columns],) for r in DAY_1 + DAY_2], STAGING_EVENTS.schema)
     songs = spark.createDataFrame([(*[r.get(c) for c in STAGING_SONGS.columns],) for r in SONGS], STAGING_SONGS.schema)
